@@ -14,6 +14,13 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodewatch.llm.decontam import find_hits
+
+    hits = find_hits(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
+    return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodewatch.llm.token_files import read_token_files, write_token_files
 
@@ -21,6 +28,36 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodewatch.llm.chat import format_chats, read_back
+
+    text = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    chats = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(more)
+    read = read_back(format_chats(chats))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodewatch.llm.packing import pack
+
+    return pack(_docs(spark, sf_dir), length=2048).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodewatch.llm.quality_rules import line_quality
+
+    return line_quality(_docs(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
