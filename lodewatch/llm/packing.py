@@ -53,36 +53,33 @@ def cutting_stock(demand: np.ndarray, capacity: int, max_rounds: int = 4000) ->
     uses: list[tuple[dict[int, int], int]] = []
     left = demand.astype(np.int64).copy()
     if len(classes):
+        # Sums of products stand for matrix products: a threaded BLAS stalls beside busy executors on one machine.
         m, need = len(classes), demand[classes].astype(float)
-        basis = np.diag((capacity // classes).astype(float))
-        cost = np.ones(m)
-        inverse, x = np.linalg.inv(basis), need / (capacity // classes)
-        for round_ in range(max_rounds):
-            dual = cost @ inverse
-            if (low := int(dual.argmin())) < m and dual[low] < -1e-9:  # more of a class than asked for
-                column, price = np.zeros(m), 0.0
+        fill = (capacity // classes).astype(float)
+        basis, inverse, x = np.diag(fill), np.diag(1 / fill), need / fill
+        cost, dual = np.ones(m), 1 / fill
+        for _ in range(max_rounds):
+            if dual[low := int(dual.argmin())] < -1e-9:  # more of a class than asked for
+                column, price, gain = np.zeros(m), 0.0, dual[low]
                 column[low] = -1.0
             else:
                 value = np.zeros(capacity + 1)
                 value[classes] = dual
                 worth, pattern = best_pattern(value, capacity)
-                if worth <= 1 + 1e-7 or (now := cost @ x) - dual @ need / worth < max(0.5, 1e-4 * now):
+                if worth <= 1 + 1e-7 or (now := (cost * x).sum()) - (dual * need).sum() / worth < max(0.5, 1e-4 * now):
                     break
-                column, price = pattern[classes], 1.0
-            move = inverse @ column
+                column, price, gain = pattern[classes], 1.0, 1 - worth
+            some = np.flatnonzero(column)
+            move = (inverse[:, some] * column[some]).sum(1)
             ratio = np.where(move > 1e-9, np.maximum(x, 0) / np.where(move > 1e-9, move, 1), np.inf)
             out = int(ratio.argmin())
-            step = ratio[out]
+            step, row = ratio[out], inverse[out] / move[out]
             basis[:, out], cost[out] = column, price
-            if round_ % 200 == 199:
-                inverse = np.linalg.inv(basis)
-                x = inverse @ need
-            else:
-                row = inverse[out] / move[out]
-                inverse -= np.outer(move, row)
-                inverse[out] = row
-                x -= step * move
-                x[out] = step
+            dual = dual + gain * row
+            x -= step * move
+            x[out] = step
+            inverse -= move[:, None] * row
+            inverse[out] = row
         for k in range(m):
             n = int(np.floor(x[k] + 1e-6))
             if cost[k] and n > 0:
