@@ -21,6 +21,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodewatch.llm.pii import KINDS, find_personal, span_texts
+
+    found = find_personal(_docs(spark, sf_dir))
+    base, spans = span_texts(found)
+    return found.select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodewatch.llm.token_files import read_token_files, write_token_files
 
@@ -58,6 +66,13 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(_docs(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodewatch.llm.secrets import KINDS, find_secrets, span_texts
+
+    base, spans = span_texts()
+    return find_secrets(_docs(spark, sf_dir)).select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
