@@ -76,7 +76,7 @@ def find_personal(docs: DataFrame, *, rounds: int = 3, min_seeds: int = 3, min_c
         return F.encode(F.array_join(F.transform(k, lambda s, i: F.concat(blank(s["start"] - before(i), "0"), blank(s["end"] - s["start"], "1"))), ""), "US-ASCII")
 
     def outside(masks: Column) -> Column:
-        inside = lambda c: F.exists(masks, lambda m: F.decode(F.substr(m, c["start"] + 1, c["end"] - c["start"]), F.lit("US-ASCII")).contains("1"))
+        inside = lambda c: F.exists(masks, lambda m: F.substr(m, c["start"] + 1, c["end"] - c["start"]).cast("string").contains("1"))
         return F.filter(matches(F.col("text"), TOKEN, F.col("text").rlike("[0-9]")), lambda c: ~inside(c))
 
     free = let(F.array(*(mask(k) for k in KINDS)), outside)

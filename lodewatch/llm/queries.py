@@ -73,9 +73,97 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_docs(spark, sf_dir)).select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodewatch.llm.neardup import near_duplicates
+
+    return near_duplicates(_docs(spark, sf_dir), words=2, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+_OP1_SQL = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce("text", '') as t from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized as (
+  select *, length(t) + sum_(t) as esc_t, length(role) + sum_(role) as esc_r from rows)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || t || chr(10), '' order by turn, role, t)) as turns_sha256,
+  coalesce(sum(length(t)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(t, '' order by turn, role, t) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(3 + esc_r + 7 + esc_t + 12)::bigint as formatted_chars
+from sized group by conv_id
+"""
+
+
+def _escapes(column: str) -> str:
+    """How many characters escaping adds: one a backslash and one a control string."""
+    count = lambda x: f"(length({column}) - length(replace({column}, '{x}', ''))) / {len(x)}"
+    return "(" + " + ".join(count(x) for x in ("\\", "<s>", "</s>", "[INST]", "[/INST]")) + ")::bigint"
+
+
+_OP4_SQL = r"""
+with words as (
+  select doc_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+item_words as (
+  select item_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (
+  select distinct item_id, least(10, len(w)) as k, list_slice(w, i, i + least(10, len(w)) - 1) as g
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from item_words where len(w) > 0)),
+lengths as (select distinct k from windows),
+grams as (
+  select doc_id, k, i, list_slice(w, i, i + k - 1) as g
+  from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from words, lengths where len(w) >= k)),
+found as (select distinct doc_id, grams.k, i, item_id from grams join windows using (g)),
+hit as (select doc_id, count(distinct p)::bigint as n_hit from (select doc_id, unnest(range(i, i + k)) as p from found) group by doc_id),
+items as (select doc_id, count(distinct item_id)::bigint as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as s from found group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(s, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hit using (doc_id) left join items using (doc_id)
+"""
+
+_OP7_SQL = r"""
+with w as (select doc_id, "source" as host, coalesce("text", '') as t, regexp_extract_all(coalesce("text", ''), '[^\x20\x09-\x0D]+') as w from documents),
+lines as (select doc_id, host, t, unnest(string_split(t, chr(10))) as line from w),
+keys as (
+  select doc_id, host, t, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))::bigint as n, trim(lower(regexp_replace(line, '[ \x09-\x0D]+', ' ', 'g'))) as k from lines),
+frequent as (select host, k from keys where k <> '' group by host, k having count(distinct t) > 100),
+lost as (select keys.doc_id, sum(n)::bigint as n from keys join frequent on keys.k = frequent.k and keys.host is not distinct from frequent.host group by keys.doc_id),
+dup as (select doc_id, (count(*) - count(distinct line))::bigint as n from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+windows as (select doc_id, i, list_slice(w, i, i + 2) as g from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from w where len(w) > 3)),
+twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as c from windows) where c > 1),
+covered as (select doc_id, count(distinct p)::bigint as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from twice) group by doc_id),
+base as (
+  select w.doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(dup.n, 0)::bigint as n_dup_lines,
+    coalesce(covered.n, 0)::bigint as n_repeat_words, coalesce(lost.n, 0) as lost
+  from w left join dup using (doc_id) left join covered using (doc_id) left join lost using (doc_id))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and not (n_words - lost < 0.3 * n_words) as kept
+from base
+"""
+
+_OP9_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+shingles as materialized (
+  select distinct doc_id, g from (
+    select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 2 then [w[1]] else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as g from words)),
+sizes as materialized (select doc_id, count(*) as n from shingles group by doc_id),
+links as materialized (
+  select a.doc_id as a, b.doc_id as b from shingles a join shingles b on a.g = b.g and a.doc_id < b.doc_id
+  join sizes sa on sa.doc_id = a.doc_id join sizes sb on sb.doc_id = b.doc_id and least(sa.n, sb.n) >= 0.8 * greatest(sa.n, sb.n)
+  group by a.doc_id, b.doc_id, sa.n, sb.n having 100 * count(*) >= 80 * (sa.n + sb.n - count(*))),
+both_ways as materialized (select a, b from links union all select b, a from links),
+reach as (select a as doc_id, a as root from both_ways union select e.b, r.root from reach r join both_ways e on e.a = r.doc_id where r.root < e.b)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(min(root), d.doc_id)) as component_id, d.doc_id = least(d.doc_id, coalesce(min(root), d.doc_id)) as kept
+from documents d left join sizes using (doc_id) left join reach using (doc_id) group by d.doc_id, n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    sql = _OP1_SQL.replace("sum_(t)", _escapes("t")).replace("sum_(role)", _escapes("role"))
+    return {"op1_chat_format": sql, "op4_decontamination": _OP4_SQL, "op7_line_quality": _OP7_SQL, "op9_near_duplicates": _OP9_SQL}

@@ -76,7 +76,7 @@ def write_token_files(docs: DataFrame, path: str, *, tokenizer: str | None = Non
 
         def flush() -> pa.RecordBatch:
             n = sum(counts)
-            cells = {"shard": shard, "block": block, "first_doc": ids[0], "last_doc": ids[-1], "ids_before": before, "n_ids": n, "dict_sha256": sha, "width": width, "doc_ids": ids, "n_tokens": counts, "offsets": np.cumsum([0, *map(len, frames)]).tolist(), "payload": b"".join(frames)}
+            cells = {"shard": shard, "block": block, "first_doc": next((x for x in ids if x is not None), None), "last_doc": ids[-1], "ids_before": before, "n_ids": n, "dict_sha256": sha, "width": width, "doc_ids": ids, "n_tokens": counts, "offsets": np.cumsum([0, *map(len, frames)]).tolist(), "payload": b"".join(frames)}
             return pa.RecordBatch.from_pydict({k: [v] for k, v in cells.items()}, schema=types)
 
         for batch in batches:
