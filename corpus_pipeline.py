@@ -4,11 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodewatch.llm import decontam, neardup, packing, quality_model, secrets
 from lodewatch.llm._common import work_dir
 
-STAGES = []
 
-#: Learned scores, sketches and packing have no SQL form; tests hold each stage against brute force.
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones among them, scores 0.5 or more."""
+    model = quality_model.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_model.keep(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the least id."""
+    gone = neardup.near_duplicates(docs, words=5, percent=80).filter("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages they share with the benchmark; those that are mostly benchmark go."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10, max_coverage=0.5)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced unless many owners have copied them."""
+    return secrets.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of at most 2048 tokens."""
+    return packing.pack(docs, length=2048).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secrets", secret_scan), ("packing", pack)]
+
+#: Learned scores, sketches and packing have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

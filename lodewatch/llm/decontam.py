@@ -181,15 +181,17 @@ def item_blocks(benchmark: DataFrame, *, window: int, block_words: int, id_col:
         yield block
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_words: int = 100_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_hits(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_words: int = 100_000, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """doc_id, text, n_words, hits (array of (from, to) in words, apart and in order), n_hit, items (sorted as strings).
 
+    Columns named in ``carry`` come along in a struct named row.
+
     A null or empty text has no words; an empty benchmark hits nothing; repeated rows are each looked at, and a null
     item id counts as ''. Every window of every item is looked for in every whole text; nothing is sampled.
     """
-    rows = id_text(docs, id_col, text_col)
-    kind = dict(rows.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, text string, n_words long, hits array<struct<`from`:int,`to`:int>>, n_hit long, items array<string>"
+    rows = id_text(docs.withColumn("row", F.struct(*(f"`{c}`" for c in carry))), id_col, text_col, row="row") if carry else id_text(docs, id_col, text_col)
+    kinds = dict(rows.dtypes)
+    schema = f"doc_id {kinds['doc_id']}, text string, n_words long, hits array<struct<`from`:int,`to`:int>>, n_hit long, items array<string>" + (f", row {kinds['row']}" if carry else "")
     out = None
     for items in item_blocks(benchmark, window=window, block_words=block_words):
         out = (rows if out is None else cut(out, "hits")).mapInArrow(_scanner(items, window), schema)
@@ -219,7 +221,8 @@ def _scanner(items: list[tuple[str, list[bytes]]], window: int):
                 hits.append([{"from": a, "to": b} for a, b in spans])
                 sums.append(sum(b - a for a, b in spans))
                 found.append(sorted(which.union(old_items)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pair)), pa.array(sums, pa.int64()), pa.array(found, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "hits", "n_hit", "items"])
+            more = ["row"] if "row" in batch.schema.names else []
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pair)), pa.array(sums, pa.int64()), pa.array(found, pa.list_(pa.string())), *map(batch.column, more)], ["doc_id", "text", "n_words", "hits", "n_hit", "items", *more])
 
     return scan
 
@@ -247,15 +250,22 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def remove_hits(hits: DataFrame, *, max_coverage: float = 0.5, min_span: int = 1) -> DataFrame:
-    """doc_id, text: documents of ``find_hits`` without their hit spans of ``min_span`` words or more.
+    """doc_id, text (and row) of ``find_hits``, without their hit spans of ``min_span`` words or more.
 
     A document of which more than ``max_coverage`` is hit goes entirely; a document without hits is left as it is.
     """
-    kept = hits.filter(f"n_hit <= {max_coverage} * n_words").select("doc_id", "text", "hits")
+    kept = hits.filter(f"n_hit <= {max_coverage} * n_words").select("doc_id", "text", "hits", *(["row"] if "row" in hits.columns else []))
 
     def edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [without_words(t, [(x["from"], x["to"]) for x in h if x["to"] - x["from"] >= min_span]) if h else t for t, h in zip(b.column("text").to_pylist(), b.column("hits").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+            yield b.set_column(1, "text", pa.array(texts, pa.string())).drop_columns(["hits"])
+
+    return kept.mapInArrow(edit, kept.drop("hits").schema)
+
 
-    return kept.mapInArrow(edit, f"doc_id {dict(hits.dtypes)['doc_id']}, text string")
+def clean(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, max_coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all their columns, hit spans removed and documents that are mostly benchmark gone. A null text becomes empty."""
+    others = [c for c in docs.columns if c != text_col]
+    kept = remove_hits(find_hits(docs, benchmark, window=window, id_col=id_col, text_col=text_col, carry=others), max_coverage=max_coverage)
+    return kept.select(*(F.col("text").alias(text_col) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns))

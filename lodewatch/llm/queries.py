@@ -14,6 +14,13 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodewatch.llm.licenses import scan_licenses
+
+    found = scan_licenses(_docs(spark, sf_dir))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"), F.array_join("classes", ",").alias("classes"), "n_matched", "n_unmatched")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodewatch.llm.decontam import find_hits
 
@@ -79,6 +86,14 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_docs(spark, sf_dir), words=2, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodewatch.llm.quality_model import held_out, score, train
+
+    docs = _docs(spark, sf_dir)
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
