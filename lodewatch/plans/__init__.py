@@ -1,0 +1 @@
+"""The catalogue of registered queries."""

@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodewatch.fixtures import Tables
+from lodewatch.plans.catalog import CATALOG
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: (lambda spark, sf_dir, build=e.build: build(Tables(spark, sf_dir))) for name, e in CATALOG.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: e.oracle for name, e in CATALOG.items() if e.oracle is not None}
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The flagship query: coverage of every company."""
+    return CATALOG["coverage_full"].build(Tables(spark, sf_dir))
