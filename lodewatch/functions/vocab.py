@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A core vocabulary. A deployment passes its own file ({type: [term, ...]}) to ``vocabulary``.
 CORE = {
@@ -43,4 +44,6 @@ def vocabulary(spark: SparkSession, path: str | None = None) -> DataFrame:
     terms = CORE
     if path:
         terms = json.loads(spark.read.text(path, wholetext=True).first()[0])
-    return spark.createDataFrame(rows(terms), "type_ord int, type string, term string, n_words int")
+    # Literals, so that the optimizer knows the table's size and may broadcast it.
+    cells = F.array(*(F.struct(F.lit(i).alias("type_ord"), F.lit(kind).alias("type"), F.lit(term).alias("term"), F.lit(n).alias("n_words")) for i, kind, term, n in rows(terms)))
+    return spark.range(1).select(F.inline(cells))

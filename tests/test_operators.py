@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodewatch.functions.vocab import rows as vocabulary_rows
+from lodewatch.functions.vocab import vocabulary
 from lodewatch.operators import classify, coverage, diff, discover, files, harvest, links, schedule
 from lodewatch.sources import tables
 from lodewatch.streaming import changes
@@ -55,10 +56,10 @@ def test_coverage_of_a_walled_and_an_unknown_company(spark):
 
 def test_classifier_edges(spark):
     terms = {"First": ["green report", "iso"], "Second": ["green", "report", "iso"], "Third": ["half-year"]}
-    vocabulary = spark.createDataFrame(vocabulary_rows(terms), "type_ord int, type string, term string, n_words int")
+    own = spark.createDataFrame(vocabulary_rows(terms), "type_ord int, type string, term string, n_words int")
     urls = ["https://x/green_report.pdf", "https://x/vision", "https://x/iso", "https://x/half-year", "https://x", None, "https://x/report/x/green"]
     df = spark.createDataFrame(list(enumerate(urls)), "doc_key int, document_url string")
-    got = {r.doc_key: (r.source_type, r.match_confidence) for r in classify.classify_library(df, vocabulary).collect()}
+    got = {r.doc_key: (r.source_type, r.match_confidence) for r in classify.classify_library(df, own).collect()}
     assert [got[i] for i in range(7)] == [("First", "high"), ("", "unresolved"), ("First", "low"), ("", "unresolved"), ("", "unresolved"), ("", "unresolved"), ("Second", "low")]
 
 
@@ -124,8 +125,7 @@ def test_stream_replaces_state(spark, tmp_path):
 
 def test_plans_stay_native(spark):
     df = spark.createDataFrame([(1, "https://x/iso")], "doc_key int, document_url string")
-    vocabulary = spark.createDataFrame(vocabulary_rows({"T": ["iso"]}), "type_ord int, type string, term string, n_words int")
-    plan = classify.classify_library(df, vocabulary)._jdf.queryExecution().toString()
+    plan = classify.classify_library(df, vocabulary(spark))._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "Cartesian" not in plan and "Python" not in plan
 
 
