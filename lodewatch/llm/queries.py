@@ -179,6 +179,57 @@ from documents d left join sizes using (doc_id) left join reach using (doc_id) g
 """
 
 
+_OP8_SQL = r"""
+with d as (select doc_id, coalesce("source", '') as owner, coalesce("text", '') as t from documents),
+matched as (
+  select doc_id, owner, 0 as k, 'assign' as kind, regexp_extract_all(t, p) as m, regexp_split_to_array(t, p) as parts, regexp_extract_all(t, p, 1) as v
+  from d, (select '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' as p)
+  union all select doc_id, owner, 1, 'access', regexp_extract_all(t, p), regexp_split_to_array(t, p), regexp_extract_all(t, p) from d, (select 'AKIA[A-Z0-9]+' as p)
+  union all select doc_id, owner, 2, 'hex', regexp_extract_all(t, p), regexp_split_to_array(t, p), regexp_extract_all(t, p) from d, (select '[0-9a-f]+' as p)
+  union all select doc_id, owner, 3, 'mixed', regexp_extract_all(t, p), regexp_split_to_array(t, p), regexp_extract_all(t, p) from d, (select '[A-Za-z0-9+/_=-]+' as p)),
+wanted as (
+  select doc_id, owner, k, kind, m, parts, v, unnest(list_filter(range(1, len(m) + 1), lambda i: case k when 0 then length(v[i]) >= 6 when 1 then length(v[i]) >= 20 when 2 then length(v[i]) >= 24
+    else length(v[i]) between 20 and 200 and regexp_matches(v[i], '[A-Z]') and regexp_matches(v[i], '[a-z]') and regexp_matches(v[i], '[0-9].*[0-9]') end)) as i from matched),
+placed as (
+  select doc_id, owner, k, kind, v[i] as value, length(m[i]) as n,
+    (list_sum(list_transform(list_slice(parts, 1, i), lambda x: length(x))) + coalesce(list_sum(list_transform(list_slice(m, 1, i - 1), lambda x: length(x))), 0))::bigint as a from wanted),
+base as (select * from placed where k < 3),
+mixed as (select * from placed p where k = 3 and not exists (select 1 from base b where b.doc_id = p.doc_id and b.a < p.a + p.n and b.a + b.n > p.a)),
+owners as (select value, count(distinct owner) as owners from (select value, owner from base union all select value, owner from mixed) group by value),
+spans as (select doc_id, k, kind, a, kind || ':' || a || ':' || (a + n) as tag from base union all select doc_id, k, kind, a, kind || ':' || a || ':' || (a + n) from mixed join owners using (value) where owners = 1)
+select d.doc_id, count(*) filter (where k = 0) as n_assign, count(*) filter (where k = 1) as n_access, count(*) filter (where k = 2) as n_hex,
+  sha256(coalesce(string_agg(tag, ',' order by a, k) filter (where k < 3), '')) as base_sha256, coalesce(string_agg(tag, ',' order by a, k), '') as spans
+from d left join spans using (doc_id) group by d.doc_id
+"""
+
+
+def _op3_sql() -> str:
+    from lodewatch.llm.licenses import RULES, SENTENCES
+
+    known = ", ".join(f"('{name}', '{text}')" for name, text in SENTENCES)
+    steps, names, kinds, counts = ["s0 as (select doc_id, sentence_ids, seq as q0 from seqs)"], [], [], []
+    for i, (name, ids, kind) in enumerate(RULES):
+        mark = "".join(f";{x};" for x in ids)
+        steps.append(f"s{i + 1} as (select *, contains(q{i}, '{mark}') as h{i}, (length(q{i}) - length(replace(q{i}, '{mark}', ''))) // {len(mark)} as c{i}, replace(q{i}, '{mark}', ';!;') as q{i + 1} from s{i})")
+        names.append(f"case when h{i} then '{name}' end")
+        kinds.append(f"case when h{i} then '{kind}' end")
+        counts.append(f"c{i}")
+    last = len(RULES)
+    once = lambda cases: f"array_to_string(list_reduce([[]] || list_transform(list_filter([{', '.join(cases)}], lambda x: x is not null), lambda x: [x]), lambda a, b: case when list_contains(a, b[1]) then a else a || b end), ',')"
+    return rf"""
+with known(name, sentence) as (values {known}),
+cut as (select doc_id, unnest(regexp_split_to_array(coalesce("text", ''), '[.!?;]+\s+|\n+|[.!?;]+$')) as s, generate_subscripts(regexp_split_to_array(coalesce("text", ''), '[.!?;]+\s+|\n+|[.!?;]+$'), 1) as pos from documents),
+worth as (select * from cut where regexp_matches(s, '(?i)licen[sc]e|permission|redistribut|public domain|free software|cc0|as is|rights reserved|liable')),
+plain as (select doc_id, pos, trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(lower(s), '([0-9])[.]([0-9])', '\1~\2', 'g'), '([0-9])[.]([0-9])', '\1~\2', 'g'), '[^a-z0-9~]+', ' ', 'g'), '~', '.'), '\s+', ' ', 'g')) as p from worth),
+normal as (select doc_id, pos, case when contains(p, 'apache license') then p else regexp_replace(regexp_replace(p, 'version [0-9]+([.][0-9]+)*', 'version <n>', 'g'), '(^|[^a-z0-9])[0-9]+([.][0-9]+)*$', '\1<n>') end as sentence from plain),
+ids as (select doc_id, string_agg(name, ',' order by pos) as sentence_ids, string_agg(';' || name || ';', '' order by pos) as seq from normal join known using (sentence) group by doc_id),
+seqs as (select doc_id, coalesce(sentence_ids, '') as sentence_ids, coalesce(seq, '') as seq from documents left join ids using (doc_id)),
+{', '.join(steps)}
+select doc_id, sentence_ids, {once(names)} as licenses, {once(kinds)} as classes, ({' + '.join(counts)})::bigint as n_matched,
+  len(list_filter(string_split(q{last}, ';'), lambda x: x not in ('', '!')))::bigint as n_unmatched from s{last}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = _OP1_SQL.replace("sum_(t)", _escapes("t")).replace("sum_(role)", _escapes("role"))
-    return {"op1_chat_format": sql, "op4_decontamination": _OP4_SQL, "op7_line_quality": _OP7_SQL, "op9_near_duplicates": _OP9_SQL}
+    return {"op1_chat_format": sql, "op3_license_scan": _op3_sql(), "op4_decontamination": _OP4_SQL, "op7_line_quality": _OP7_SQL, "op8_secrets": _OP8_SQL, "op9_near_duplicates": _OP9_SQL}
