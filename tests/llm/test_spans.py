@@ -74,3 +74,53 @@ def test_examples_and_live_secrets(spark):
     out = {r.doc_id: r.text for r in secrets.redact(df).collect()}
     assert out[0] == rows[0][1] and out[9] == "Key [SECRET] ok, [SECRET]"
     assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
+
+
+def brute_contexts(texts, rounds=3, min_seeds=3, min_confidence=0.5):
+    """The contextual method, document by document, in plain Python: spans found by contexts."""
+
+    def context(text, start, last):
+        left = text[max(last, start - 80) : start]
+        m = re.search(r"(?:^|\s)(\S+\s+\S+)\s*$", left, re.A)
+        return re.sub(r"\s+", " ", m[1].lower(), flags=re.A) if m else ""
+
+    edges, tokens = {}, []
+    for i, t in enumerate(texts):
+        taken = []
+        for _, p, ok in PII:
+            last = 0
+            for m in re.finditer(p, t):
+                if ok(m[0]):
+                    taken.append((m.start(), m.end()))
+                    if c := context(t, m.start(), last):
+                        edges[c, m[0]] = True
+                last = m.end()
+        last = 0
+        for m in re.finditer(r"(?<!\S)(?=\S*[0-9])\S{4,}", t, re.A):
+            if not any(a < m.end() and b > m.start() for a, b in taken):
+                c = context(t, m.start(), last)
+                tokens.append((i, m.start(), m.end(), c))
+                if c:
+                    edges.setdefault((c, m[0]), False)
+            last = m.end()
+    score = {v: 0.0 for _, v in edges}
+    trusted = {}
+    for _ in range(rounds):
+        trusted = {}
+        for c in {c for c, _ in edges}:
+            own = [(v, s) for (p, v), s in edges.items() if p == c]
+            if sum(s for _, s in own) >= min_seeds:
+                trusted[c] = sum(1.0 if s else score[v] for v, s in own) / len(own)
+        score = {v: max([trusted[c] for c, w in edges if w == v and c in trusted], default=0.0) for v in score}
+    return {(i, a, b) for i, a, b, c in tokens if c and trusted.get(c, 0) >= min_confidence}
+
+
+def test_contexts_equal_brute_force(spark):
+    r = random.Random(5)
+    lead = ["call me at", "my badge no.", "in the year", "ref number is", "see also"]
+    what = ["+1 (319) 555-5132", "{}@ex.org", "ZX-{}71", "10.0.{}.9", "1999", "B{}55", "word"]
+    texts = [" ".join(f"{r.choice(lead)} {r.choice(what).format(r.randint(0, 30))}{r.choice(['', ','])}\n"[: r.choice([99, -1])] for _ in range(r.randint(1, 12))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(x.doc_id, s.start, s.end) for x in pii.find_personal(df).collect() for s in x.found}
+    want = brute_contexts(texts)
+    assert got == want and want

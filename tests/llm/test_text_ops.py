@@ -82,7 +82,7 @@ def test_removed_spans(spark):
     item = "the quick brown fox jumps over the lazy dog again and again"
     df = spark.createDataFrame([(1, "Before it. " * 8 + "The QUICK, brown fox jumps over the lazy dog again and again! After."), (2, item), (3, "clean")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
-    out = {r.doc_id: r.text for r in decontam.remove_hits(decontam.find_hits(df, bench)).collect()}
+    out = {r.doc_id: r.text for r in decontam.clean(df, bench).collect()}
     assert out == {1: "Before it. " * 8 + "After.", 3: "clean"}
 
 
@@ -117,7 +117,7 @@ def test_templates_that_rewrite_history():
 
 def test_encoder_equals_library():
     enc = encoder(tokenizer_path())
-    texts = [prose(s, 50) for s in range(5)] + ["Don't  STOP!! <|endoftext|>x été\tİ ﬁ ΣΣς 123", "", "\n", "日本語", "a" * 3000, "Å̊ é É", "the, the. The;", "word\x1cword"]
+    texts = [prose(s, 50) for s in range(5)] + ["Don't  STOP!! <|endoftext|>x été\tİ ﬁ ΣΣς 123", "", "\n", "日本語", "a" * 3000, "Å̊ é É", "the, the. The;", "word\x1cword", "$$$the&&& 'sword it's' (o'clock') |x| <|x|> <|startoftext|> a_b_ <b>the</b> --the-- é'"]
     assert [np.frombuffer(x, enc.kind).tolist() for x in enc.encode(texts)] == [e.ids for e in enc.whole.encode_batch(texts, add_special_tokens=False)]
 
 
