@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +35,10 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **m
     """Only the columns an operator needs, under its own names; a null text counts as empty."""
     cols = [F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")]
     return docs.select(*cols, *(F.col(f"`{c}`").alias(n) for n, c in more.items()))
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that a Python worker holds few texts as objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodewatch.llm._common import cut, id_text
+from lodewatch.llm._common import cut, id_text, slices
 
 _TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: The same words in a text, for their character positions.
@@ -181,10 +181,11 @@ def item_blocks(benchmark: DataFrame, *, window: int, block_words: int, id_col:
         yield block
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_words: int = 100_000, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def find_hits(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_words: int = 100_000, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, edit: tuple[float, int] | None = None) -> DataFrame:
     """doc_id, text, n_words, hits (array of (from, to) in words, apart and in order), n_hit, items (sorted as strings).
 
-    Columns named in ``carry`` come along in a struct named row.
+    Columns named in ``carry`` come along in a struct named row. With ``edit`` (coverage limit, least span) the last pass also
+    leaves out documents hit beyond the limit and takes hit spans of that many words or more out of the others' texts.
 
     A null or empty text has no words; an empty benchmark hits nothing; repeated rows are each looked at, and a null
     item id counts as ''. Every window of every item is looked for in every whole text; nothing is sampled.
@@ -192,15 +193,15 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_
     rows = id_text(docs.withColumn("row", F.struct(*(f"`{c}`" for c in carry))), id_col, text_col, row="row") if carry else id_text(docs, id_col, text_col)
     kinds = dict(rows.dtypes)
     schema = f"doc_id {kinds['doc_id']}, text string, n_words long, hits array<struct<`from`:int,`to`:int>>, n_hit long, items array<string>" + (f", row {kinds['row']}" if carry else "")
-    out = None
+    last = None
     for items in item_blocks(benchmark, window=window, block_words=block_words):
-        out = (rows if out is None else cut(out, "hits")).mapInArrow(_scanner(items, window), schema)
-    if out is None:
-        out = rows.mapInArrow(_scanner([], window), schema)
-    return out
+        if last is not None:
+            rows = cut(rows.mapInArrow(_scanner(last, window), schema), "hits")
+        last = items
+    return rows.mapInArrow(_scanner(last or [], window, edit), schema)
 
 
-def _scanner(items: list[tuple[str, list[bytes]]], window: int):
+def _scanner(items: list[tuple[str, list[bytes]]], window: int, edit: tuple[float, int] | None = None):
     import hashlib
 
     key = hashlib.sha256(repr(items).encode()).hexdigest()
@@ -208,7 +209,7 @@ def _scanner(items: list[tuple[str, list[bytes]]], window: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sam = _automaton(key, items, window)
         pair = pa.struct([("from", pa.int32()), ("to", pa.int32())])
-        for batch in batches:
+        for batch in slices(batches):
             had = batch.column("hits").to_pylist() if "hits" in batch.schema.names else repeat([])
             had_items = batch.column("items").to_pylist() if "items" in batch.schema.names else repeat([])
             counts, hits, sums, found = [], [], [], []
@@ -222,7 +223,8 @@ def _scanner(items: list[tuple[str, list[bytes]]], window: int):
                 sums.append(sum(b - a for a, b in spans))
                 found.append(sorted(which.union(old_items)))
             more = ["row"] if "row" in batch.schema.names else []
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pair)), pa.array(sums, pa.int64()), pa.array(found, pa.list_(pa.string())), *map(batch.column, more)], ["doc_id", "text", "n_words", "hits", "n_hit", "items", *more])
+            out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pair)), pa.array(sums, pa.int64()), pa.array(found, pa.list_(pa.string())), *map(batch.column, more)], ["doc_id", "text", "n_words", "hits", "n_hit", "items", *more])
+            yield _edited(out, *edit) if edit else out
 
     return scan
 
@@ -249,23 +251,18 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[last:]])
 
 
-def remove_hits(hits: DataFrame, *, max_coverage: float = 0.5, min_span: int = 1) -> DataFrame:
-    """doc_id, text (and row) of ``find_hits``, without their hit spans of ``min_span`` words or more.
+def _edited(batch: pa.RecordBatch, max_coverage: float, min_span: int) -> pa.RecordBatch:
+    n_words, n_hit = batch.column("n_words").to_numpy(), batch.column("n_hit").to_numpy()
+    batch = batch.filter(pa.array(n_hit <= max_coverage * n_words))
+    texts = [without_words(t, [(x["from"], x["to"]) for x in h if x["to"] - x["from"] >= min_span]) if h else t for t, h in zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist(), strict=True)]
+    return batch.set_column(1, "text", pa.array(texts, pa.string()))
 
-    A document of which more than ``max_coverage`` is hit goes entirely; a document without hits is left as it is.
-    """
-    kept = hits.filter(f"n_hit <= {max_coverage} * n_words").select("doc_id", "text", "hits", *(["row"] if "row" in hits.columns else []))
-
-    def edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [without_words(t, [(x["from"], x["to"]) for x in h if x["to"] - x["from"] >= min_span]) if h else t for t, h in zip(b.column("text").to_pylist(), b.column("hits").to_pylist(), strict=True)]
-            yield b.set_column(1, "text", pa.array(texts, pa.string())).drop_columns(["hits"])
 
-    return kept.mapInArrow(edit, kept.drop("hits").schema)
+def clean(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, max_coverage: float = 0.5, min_span: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all their columns, without the spans hit; a document hit for more than ``max_coverage`` of its words goes.
 
-
-def clean(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, max_coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with all their columns, hit spans removed and documents that are mostly benchmark gone. A null text becomes empty."""
+    A document without hits is left as it is; a null text becomes empty.
+    """
     others = [c for c in docs.columns if c != text_col]
-    kept = remove_hits(find_hits(docs, benchmark, window=window, id_col=id_col, text_col=text_col, carry=others), max_coverage=max_coverage)
+    kept = find_hits(docs, benchmark, window=window, id_col=id_col, text_col=text_col, carry=others, edit=(max_coverage, min_span))
     return kept.select(*(F.col("text").alias(text_col) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodewatch.llm._common import cut, id_text
+from lodewatch.llm._common import cut, id_text, slices
 from lodewatch.llm.tokens import encode_rows, tokenizer_path
 
 _SALTS = 128
@@ -115,7 +115,7 @@ def cut_documents(docs: DataFrame, *, length: int = 2048, tokenizer: str | None
     rows = id_text(docs, id_col, text_col)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, starts, lengths, wholes, parts = [], [], [], [], []
             for k, x in enumerate(encode_rows(batch.column("text").to_pylist(), tokenizer, end_id)):
                 raw = x.astype("<u4").tobytes()

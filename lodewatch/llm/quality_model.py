@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodewatch.llm._common import id_text
+from lodewatch.llm._common import id_text, slices
 
 FEATURES = (
     "log_words", "mean_word", "long_words", "short_words", "upper", "digits", "symbols", "bars", "marks", "stops",
@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 6000, id_col: s
     rows = id_text(docs, id_col, text_col).join(F.broadcast(wanted), "doc_id").select("doc_id", "text", F.col("y").cast("double").alias("y"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array([text_features(t) for t in b.column("text").to_pylist()], pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
     got = sorted((r.doc_id, r.y, tuple(r.x)) for r in rows.mapInArrow(features, f"doc_id {dict(rows.dtypes)['doc_id']}, y double, x array<double>").collect())
@@ -191,7 +191,7 @@ def score(docs: DataFrame, model: AdditiveModel, *, id_col: str = "doc_id", text
     rows = id_text(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             x = np.array([text_features(t) for t in b.column("text").to_pylist()]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(model.score(x))], ["doc_id", "text", "score"])
 
@@ -202,7 +202,7 @@ def keep(docs: DataFrame, model: AdditiveModel, *, threshold: float = 0.5, text_
     """The rows of ``docs`` whose text scores ``threshold`` or more, with all their columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             x = np.array([text_features(t) for t in b.column(text_col).to_pylist()]).reshape(-1, len(FEATURES))
             yield b.filter(pa.array(model.score(x) >= threshold))
 

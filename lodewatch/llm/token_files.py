@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodewatch.llm._common import id_text
+from lodewatch.llm._common import id_text, slices
 from lodewatch.llm.tokens import encode_rows, tokenizer_path
 
 _BLOCK = "shard int, block int, first_doc {id}, last_doc {id}, ids_before long, n_ids long, dict_sha256 string, width int, doc_ids array<{id}>, n_tokens array<long>, offsets array<long>, payload binary"
@@ -79,7 +79,7 @@ def write_token_files(docs: DataFrame, path: str, *, tokenizer: str | None = Non
             cells = {"shard": shard, "block": block, "first_doc": next((x for x in ids if x is not None), None), "last_doc": ids[-1], "ids_before": before, "n_ids": n, "dict_sha256": sha, "width": width, "doc_ids": ids, "n_tokens": counts, "offsets": np.cumsum([0, *map(len, frames)]).tolist(), "payload": b"".join(frames)}
             return pa.RecordBatch.from_pydict({k: [v] for k, v in cells.items()}, schema=types)
 
-        for batch in batches:
+        for batch in slices(batches):
             id_type = batch.schema.field("doc_id").type
             types = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first_doc", id_type), ("last_doc", id_type), ("ids_before", pa.int64()), ("n_ids", pa.int64()), ("dict_sha256", pa.string()), ("width", pa.int32()), ("doc_ids", pa.list_(id_type)), ("n_tokens", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary())])
             for key, x in zip(batch.column("doc_id").to_pylist(), encode_rows(batch.column("text").to_pylist(), tokenizer, end_id), strict=True):
