@@ -343,16 +343,16 @@ def _visit_rows(df: DataFrame) -> DataFrame:
 
 
 def _stream_changes(t: Tables) -> DataFrame:
-    path, out = _folder(t), f"changes_{uuid.uuid4().hex[:8]}"
+    path, out = _folder(t), _folder(t)
     visits = _visit_rows(t.visits)
     middle = visits.agg(F.percentile_approx(F.col("fetched_at").cast("long"), 0.5)).first()[0]
     for late in (False, True):  # two batches in order of time
         part = visits.filter((F.col("fetched_at").cast("long") > middle) if late else (F.col("fetched_at").cast("long") <= middle))
         part.repartition(1).write.mode("append").parquet(path)
     stream = t.spark.readStream.schema(changes.VISITS).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(path)
-    job = changes.stream_changes(stream).writeStream.format("memory").queryName(out).outputMode("append").option("checkpointLocation", _folder(t)).trigger(availableNow=True).start()
+    job = changes.stream_changes(stream).writeStream.format("parquet").option("path", out).outputMode("append").option("checkpointLocation", _folder(t)).trigger(availableNow=True).start()
     job.awaitTermination()
-    return t.spark.table(out)
+    return t.spark.read.schema("page_id long, fetched_at timestamp, key string").parquet(out)
 
 
 _CHANGES = "with v as (select page_id, date_trunc('day', fetched_at) as d, list_sort(list(distinct key)) as k from visits group by 1, 2), w as (select *, lag(k) over (partition by page_id order by d) as b, row_number() over (partition by page_id order by d) as r from v) select page_id, d::timestamptz as fetched_at, key from (select page_id, d, unnest(list_filter(k, lambda x: not list_contains(b, x))) as key from w where r > 1)"
