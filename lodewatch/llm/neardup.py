@@ -2,9 +2,10 @@
 
 A register holds the truncated exponent of the least of a set's exponential variables, so it is mergeable (by maximum)
 and two sets share it about as often as they share elements. Texts with equal shingle sets are one class from the start.
-Classes that agree on a whole band meet in its bucket. A bucket is never expanded into pairs: its members are compared
-with its least member, links are verified on the full sets, and what is still apart is compared with the least member
-of every other component in the bucket, in further rounds until no bucket is open.
+Classes that agree on a whole band meet in its bucket. A bucket is never expanded into pairs. First every class is
+verified against the least class it meets. Then parts that still meet, through classes of some likeness, form families;
+in a family each class outside its largest part is compared with every class of another part, in blocks that ship a
+set once: by registers, and where those leave a chance, on the full sets. Only links that join parts are emitted.
 
 With ``_BANDS`` bands of ``_ROWS`` registers a pair of similarity 0.8 is never in one bucket with a chance of 5e-7.
 """
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodewatch.llm._common import cut, id_text
+from lodewatch.llm._common import cut, id_text, slices
 from lodewatch.llm._shingles import mix, shingle_sets
 
 _BANDS, _ROWS = 48, 6
@@ -30,6 +31,12 @@ _MUL = _rng.integers(0, 2**31, _M, np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _rng.integers(0, 2**32, _M, np.uint32)
 #: A pair is dropped before verification if its likelihood at the threshold is e ** -_ODDS of the best: chance below 1e-10.
 _ODDS = 25.0
+#: Two classes of one bucket are of one family if they may be this alike: what links to one of them is then no further than this from the other.
+_FAMILY = 0.4
+#: Classes a block of a family holds, on its two sides.
+_HEADS, _MEMBERS = 512, 2048
+#: Ids that may be broadcast; beyond it the join shuffles.
+_BROADCAST_IDS = 1_000_000
 
 
 def registers(elements: np.ndarray) -> np.ndarray:
@@ -52,7 +59,7 @@ def joint_estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray,
     same = _M - more - less
     u = na / (na + nb)
     v = 1 - u
-    grid = np.linspace(0, 1, 201)[1:-1]
+    grid = np.linspace(0, 1, 101)[1:-1]
     top = np.minimum(u / v, v / u)[:, None]
     j = np.minimum(grid[None, :] * top, top - 1e-9)
 
@@ -71,7 +78,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[bytes, bytes] = {}
-        for batch in batches:
+        for batch in slices(batches):
             sizes, digests, regs = [], [], []
             for x in shingle_sets(batch.column("text").to_pylist(), words):
                 sizes.append(len(x))
@@ -105,8 +112,8 @@ def connected(edges: DataFrame) -> DataFrame:
     return roots
 
 
-def _estimated(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose registers do not rule a link out, with the estimate."""
+def _estimated(pairs: DataFrame, reps: DataFrame, similarity: float, odds: float) -> DataFrame:
+    """Pairs (a, b) whose sizes and registers do not rule out that similarity, with the estimate."""
     own = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}"))
     kind = dict(pairs.dtypes)["a"]
 
@@ -117,8 +124,7 @@ def _estimated(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFram
                 rows = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(-1, _M) for c in ("r_a", "r_b")]
                 sizes = [part.column(c).to_numpy().astype(float) for c in ("n_a", "n_b")]
                 value, lost = joint_estimate(*rows, *sizes, similarity)
-                # Sizes bound the similarity; the test on full sets is exact, this one only leaves out what cannot pass.
-                keep = pa.array((lost < _ODDS) & (np.minimum(*sizes) >= (similarity - 1e-9) * np.maximum(*sizes)))
+                keep = pa.array((lost < odds) & (np.minimum(*sizes) >= (similarity - 1e-9) * np.maximum(*sizes)))
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(value)], ["a", "b", "estimate"]).filter(keep)
 
     return pairs.join(own("b"), "b").join(own("a"), "a").mapInArrow(run, f"a {kind}, b {kind}, estimate double")
@@ -130,18 +136,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x_a").to_pylist(), batch.column("x_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.intersect1d(x, y, assume_unique=True).size
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(batch.column("x_a").to_pylist(), batch.column("x_b").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     side = lambda x: sets.select(F.col("id").alias(x), F.col("elements").alias(f"x_{x}"))
     return pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, hubs_per_round: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a row of ``docs``: doc_id, n_shingles, class_id (least id with the same shingle set), component_id (least id reachable by links), kept.
 
     Two texts link if 100 * |intersection| >= percent * |union| of their shingle sets. A null or empty text has an
@@ -159,47 +161,23 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, hubs_
     full = cut(banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("size")).filter("size > 1").select("bucket", "hub"), "buckets")
     members = cut(banded.join(full, "bucket"), "members")
 
-    met = members.select("id").distinct()
-    wanted = rows.join(met.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    kind = dict(rows.dtypes)["doc_id"]
-
-    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([x.tobytes() for x in shingle_sets(part.column("text").to_pylist(), words)], pa.binary())], ["id", "elements"])
-
-    sets = cut(wanted.mapInArrow(elements, f"id {kind}, elements binary"), "sets")
-    similarity = percent / 100
-
-    # First each class's most likely link to a bucket's least member, then those of its other links that still join components.
-    likely = cut(_estimated(members.select(F.col("hub").alias("a"), F.col("id").alias("b")).filter("a <> b").distinct(), reps, similarity), "likely")
-    best = likely.groupBy("b").agg(F.max_by("a", "estimate").alias("a"))
-    links = cut(_verified(best, sets, percent), "links")
-    roots = connected(links)
-    tested = likely.select("a", "b")
-    links = links.union(cut(_verified(_apart(tested, roots), sets, percent), "links"))
+    # First each class against the least class it meets in any bucket.
+    met = cut(members.groupBy("id").agg(F.min("hub").alias("hub")), "met")
+    sets = _sets(rows, met, words)
+    least = met.select(F.col("hub").alias("a"), F.col("id").alias("b")).filter("a <> b")
+    likely = cut(_estimated(least, reps, percent / 100, _ODDS), "likely")  # a table between, so that no task runs two Python workers
+    links = cut(_verified(likely, sets, percent), "links")
     roots = connected(links)
 
-    done = 0
-    while True:
-        labelled = cut(members.select("bucket", "id").join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("part")), "labelled")
-        open_ = labelled.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("bucket")
-        inside = cut(labelled.join(cut(open_, "open"), "bucket", "left_semi"), "inside")
-        parts = inside.groupBy("bucket", "part").agg(F.min("id").alias("hub"))
-        # The turn is a hash, not a rank, so that a bucket of very many parts is not ordered in one task.
-        turns = parts.withColumn("turn", F.pmod(F.xxhash64("hub"), F.lit(1 << 20)))
-        many = parts.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
-        rounds = -(-many // hubs_per_round)
-        if done >= rounds:
-            break
-        now = cut(turns.filter((F.col("turn") * rounds / (1 << 20)).cast("int") == done).select("bucket", F.col("part").alias("other"), "hub"), "hubs")
-        pairs = inside.join(now, "bucket").filter("part <> other").select(F.greatest("hub", "id").alias("b"), F.least("hub", "id").alias("a")).distinct()
-        more = cut(_verified(cut(_estimated(pairs, reps, similarity), "likely"), sets, percent), "links")
-        done += 1
-        if not more.isEmpty():
-            links = links.union(more)
-            roots = connected(links)
+    # Then the parts that still meet, if the classes by which they meet may be of some likeness.
+    part = lambda x: roots.select(F.col("id").alias(x), F.col("root").alias(f"part_{x}"))
+    apart = members.select(F.col("hub").alias("a"), F.col("id").alias("b")).filter("a <> b").join(part("a"), "a", "left").join(part("b"), "b", "left")
+    apart = apart.select("a", "b", F.coalesce("part_a", "a").alias("part_a"), F.coalesce("part_b", "b").alias("part_b")).filter("part_a <> part_b").distinct()
+    near = cut(apart, "apart")
+    alike = cut(_estimated(near.select("a", "b"), reps, _FAMILY, _ODDS), "alike")
+    families = connected(near.join(alike, ["a", "b"], "left_semi").select(F.col("part_a").alias("a"), F.col("part_b").alias("b")))
+    more = cut(_in_families(met, roots, families, reps, sets, percent), "links")
+    roots = connected(links.union(more))
 
     same = classes.join(roots.withColumnRenamed("id", "class_id"), "class_id", "left").select(F.col("digest").alias("g"), "class_id", F.coalesce("root", "class_id").alias("component_id"))
     joined = sketches.select("doc_id", "n_shingles", "digest").join(cut(same, "components"), F.col("digest") == F.col("g"), "left")
@@ -207,7 +185,66 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, hubs_
     return joined.select("doc_id", "n_shingles", own("class_id"), own("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one component yet."""
-    side = lambda x: roots.select(F.col("id").alias(x), F.col("root").alias(f"root_{x}"))
-    return pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").filter("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
+def _sets(rows: DataFrame, met: DataFrame, words: int) -> DataFrame:
+    """id, elements: the full sets of the classes that meet any other."""
+    ids = met.select(F.col("id").alias("doc_id"))
+    ids = F.broadcast(ids) if met.count() <= _BROADCAST_IDS else ids
+    kind = dict(rows.dtypes)["doc_id"]
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([x.tobytes() for x in shingle_sets(part.column("text").to_pylist(), words)], pa.binary())], ["id", "elements"])
+
+    return cut(rows.join(ids, "doc_id", "left_semi").mapInArrow(elements, f"id {kind}, elements binary"), "sets")
+
+
+def _in_families(met: DataFrame, roots: DataFrame, families: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join parts of a family: its classes outside its largest part against all its classes, cell by cell."""
+    parts = met.select("id").join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("part"))
+    owned = parts.join(families.select(F.col("id").alias("part"), F.col("root").alias("family")), "part")
+    sizes = cut(owned.groupBy("family", "part").agg(F.count("*").alias("size")), "parts")
+    shape = sizes.groupBy("family").agg(F.max_by("part", F.struct("size", "part")).alias("largest"), F.sum("size").alias("all"), F.max("size").alias("most"))
+    blocks = lambda n, per: F.ceil(n / F.lit(per)).cast("int")
+    shape = cut(shape.select("family", "largest", blocks(F.col("all") - F.col("most"), _HEADS).alias("heads"), blocks(F.col("all"), _MEMBERS).alias("chunks")), "families")
+    placed = cut(owned.join(shape, "family"), "family-members").join(reps, "id").join(sets, "id")
+    turn = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    heads = placed.filter("part <> largest").select(F.lit(0).alias("side"), "family", turn(F.col("heads")).alias("head"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "part", "id", "registers", "elements")
+    members = placed.select(F.lit(1).alias("side"), "family", F.explode(F.sequence(F.lit(0), F.col("heads") - 1)).alias("head"), turn(F.col("chunks")).alias("chunk"), "part", "id", "registers", "elements")
+    kind = dict(reps.dtypes)["id"]
+
+    def link(cell: pa.Table) -> pa.Table:
+        side = cell.column("side").to_numpy()
+        ids, parts = cell.column("id").to_pylist(), cell.column("part").to_pylist()
+        regs = np.frombuffer(b"".join(cell.column("registers").to_pylist()), np.uint16).reshape(-1, _M)
+        elements = [np.frombuffer(x, np.uint64) for x in cell.column("elements").to_pylist()]
+        n = np.array([len(x) for x in elements], float)
+        root = {p: p for p in parts}
+
+        def find(p):
+            while root[p] != p:
+                root[p] = root[root[p]]
+                p = root[p]
+            return p
+
+        found, to = [], np.flatnonzero(side == 1)
+        number = {p: k for k, p in enumerate(root)}
+        code = np.array([number[p] for p in parts])
+        for i in np.flatnonzero(side == 0).tolist():
+            same = (regs[to] == regs[i]).sum(1)
+            keep = to[(code[to] != code[i]) & (100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i])) & (same > _M * (percent / 100 - 0.25))]
+            if len(keep):
+                estimate, lost = joint_estimate(regs[keep], np.broadcast_to(regs[i], (len(keep), _M)), n[keep], np.full(len(keep), n[i]), percent / 100)
+                for j in keep[lost < _ODDS][np.argsort(-estimate[lost < _ODDS], kind="stable")].tolist():
+                    if find(parts[i]) != find(parts[j]) and _similar(elements[i], elements[j], percent):
+                        root[find(parts[i])] = find(parts[j])
+                        found.append((ids[i], ids[j]))
+        return pa.table({"a": pa.array([a for a, _ in found], cell.schema.field("id").type), "b": pa.array([b for _, b in found], cell.schema.field("id").type)})
+
+    return heads.unionByName(members).groupBy("family", "head", "chunk").applyInArrow(link, f"a {kind}, b {kind}")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.intersect1d(x, y, assume_unique=True).size
+    return 100 * both >= percent * (len(x) + len(y) - both)
