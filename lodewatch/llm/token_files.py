@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodewatch.llm._common import id_text, slices
-from lodewatch.llm.tokens import encode_rows, tokenizer_path
+from lodewatch.llm.tokens import encode_rows, encoder, tokenizer_path
 
 _BLOCK = "shard int, block int, first_doc {id}, last_doc {id}, ids_before long, n_ids long, dict_sha256 string, width int, doc_ids array<{id}>, n_tokens array<long>, offsets array<long>, payload binary"
 
@@ -61,10 +61,10 @@ def write_token_files(docs: DataFrame, path: str, *, tokenizer: str | None = Non
     """
     spark, tokenizer = docs.sparkSession, tokenizer or tokenizer_path()
     rows = id_text(docs, id_col, text_col)
-    train_dictionary(rows, tokenizer, end_id).write.parquet(f"{path}/dictionary")
-    (made,) = spark.read.parquet(f"{path}/dictionary").collect()
+    made = train_dictionary(rows, tokenizer, end_id).collect()  # a row, or none for an empty table
+    sha, dictionary, width = (made[0].sha256, bytes(made[0].dictionary), made[0].width) if made else (hashlib.sha256(b"").hexdigest(), b"", encoder(tokenizer).kind.itemsize)
+    spark.createDataFrame([(sha, dictionary, width)], "sha256 string, dictionary binary, width int").write.parquet(f"{path}/dictionary")
     schema = _BLOCK.format(id=dict(rows.dtypes)["doc_id"])
-    dictionary, sha, width = bytes(made.dictionary), made.sha256, made.width
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard as zstd
