@@ -69,10 +69,12 @@ def line_quality(docs: DataFrame, *, max_docs: int = 100, min_left: float = 0.3,
     """
     rows = id_text(docs, id_col, text_col, host=host_col).withColumn("same", F.xxhash64("text"))
     line = F.posexplode(_lines(F.col("text"))).alias("pos", "line")
-    lines = rows.select("doc_id", "host", "same", line).withColumn("key", normal_line(F.col("line"))).filter("key <> ''").withColumn("key", F.xxhash64("key"))
+    lines = rows.select("doc_id", "host", "same", line).withColumn("key", normal_line(F.col("line"))).filter("key <> ''")
+    # A line's words are counted before any shuffle, so that no line's text is dealt out.
+    lines = lines.select("doc_id", "host", "same", "pos", F.size(F.split("key", " ")).cast("long").alias("n"), F.xxhash64("key").alias("key"))
     frequent = lines.groupBy("host", "key").agg(F.count_distinct("same").alias("n")).filter(F.col("n") > max_docs).select(F.col("host").alias("host_"), F.col("key").alias("key_"))
     hit = lines.join(frequent, F.col("host").eqNullSafe(F.col("host_")) & (F.col("key") == F.col("key_")), "left_semi")
-    per_doc = hit.select("doc_id", "host", "same", "pos", F.size(words_of(F.col("line"))).cast("long").alias("n")).dropDuplicates(["doc_id", "host", "same", "pos"]).groupBy("doc_id", "host", "same").agg(F.sum("n").alias("n_line_words"), F.sort_array(F.collect_list("pos")).alias("boilerplate"))
+    per_doc = hit.select("doc_id", "host", "same", "pos", "n").dropDuplicates(["doc_id", "host", "same", "pos"]).groupBy("doc_id", "host", "same").agg(F.sum("n").alias("n_line_words"), F.sort_array(F.collect_list("pos")).alias("boilerplate"))
     b = per_doc.select(F.col("doc_id").alias("d"), F.col("host").alias("h"), F.col("same").alias("s"), "n_line_words", "boilerplate")
 
     words = rows.withColumn("w", words_of(F.col("text"))).withColumn("n", F.size("w"))
