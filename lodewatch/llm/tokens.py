@@ -7,13 +7,14 @@ import re
 
 import numpy as np
 
-#: Most words and letter runs that one worker keeps (about 200 bytes each).
-CACHE_WORDS = 500_000
+#: Most words and most letter runs that one worker keeps (about 150 bytes each). Words are cheap to make from runs.
+CACHE_WORDS, CACHE_RUNS = 250_000, 450_000
 #: Longer words are encoded whenever they occur.
 LONGEST = 64
 
-# Lower-case letters that NFC leaves as they are and that every Unicode version lower-cases alike.
-_PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
+# Letters that NFC leaves as they are and that every Unicode version lower-cases alike, between ASCII signs. An apostrophe
+# may only stand behind, where no letter follows it.
+_PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -44,7 +45,8 @@ class Encoder:
             self.letters = Tokenizer.from_str(json.dumps(spec))
             self.is_end = np.zeros(self.size, bool)
             self.is_end[[i for t, i in self.whole.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
-        self._clear()
+        self.words: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {"": b""}
 
     @staticmethod
     def _splits_at_spaces(spec: dict) -> bool:
@@ -62,34 +64,33 @@ class Encoder:
             and spec["model"].get("end_of_word_suffix") == "</w>"
         )
 
-    def _clear(self) -> None:
-        self.words: dict[str, bytes] = {"": b""}
-        self.runs: dict[str, bytes] = {}
-
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
     def _learn(self, missing: set[str]) -> None:
         plain, rest, new = [], [], set()
         for w in missing:
-            m = _PLAIN.fullmatch(w.lower()) if len(w) <= LONGEST else None
+            m = _PLAIN.fullmatch(w.lower()) if len(w) <= LONGEST and "<|" not in w else None
             if m:
-                plain.append((w, m[1], m[2]))
-                if m[1] not in self.runs:
-                    new.add(m[1])
-                if m[2] not in self.runs:
-                    self.runs[m[2]] = self._bytes(self.whole.encode(m[2], add_special_tokens=False).ids)
+                before, letters, after = m.groups()
+                plain.append((w, before, letters, after))
+                if letters not in self.runs:
+                    new.add(letters)
+                for signs in (before, after):
+                    if signs not in self.runs:
+                        self.runs[signs] = self._bytes(self.whole.encode(signs, add_special_tokens=False).ids)
             else:
                 rest.append(w)
+        new = list(new)
         for i in range(0, len(new), 20_000):
-            part = list(new) if len(new) <= 20_000 else list(new)[i : i + 20_000]
+            part = new[i : i + 20_000]
             ids = np.array(self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
             ends, raw, at = (np.flatnonzero(self.is_end[ids]) + 1) * ids.itemsize, ids.tobytes(), 0
             for run, end in zip(part, ends.tolist(), strict=True):
                 self.runs[run] = raw[at:end]
                 at = end
-        for w, a, b in plain:
-            self.words[w] = self.runs[a] + self.runs[b]
+        for w, before, letters, after in plain:
+            self.words[w] = self.runs[before] + self.runs[letters] + self.runs[after]
         for i in range(0, len(rest), 2000):
             for w, e in zip(rest[i : i + 2000], self.whole.encode_batch(rest[i : i + 2000], add_special_tokens=False), strict=True):
                 self.words[w] = self._bytes(e.ids)
@@ -98,23 +99,36 @@ class Encoder:
         """Each text's ids as little-endian unsigned integers of ``self.kind``."""
         if not self.by_word:
             return [self._bytes(e.ids) for e in self.whole.encode_batch(texts, add_special_tokens=False)]
-        if len(self.words) > CACHE_WORDS or len(self.runs) > CACHE_WORDS:
-            self._clear()
+        if len(self.words) > CACHE_WORDS:
+            self.words = {"": b""}
+        if len(self.runs) > CACHE_RUNS:
+            self.runs = {"": b""}
         split = [t.replace("\n", " ").split(" ") for t in texts]
         found = [list(map(self.words.get, s)) for s in split]
-        missing: set[str] = set()
-        for s, f in zip(split, found, strict=True):
-            if None in f:
-                missing.update([w for w, x in zip(s, f, strict=True) if x is None])
+        holes = [_holes(f) for f in found]
+        missing = {s[i] for s, h in zip(split, holes, strict=True) for i in h}
         if missing:
             self._learn(missing)
-            found = [list(map(self.words.__getitem__, s)) if None in f else f for s, f in zip(split, found, strict=True)]
+            for s, f, h in zip(split, found, holes, strict=True):
+                for i in h:
+                    f[i] = self.words[s[i]]
             for w in missing:
                 if len(w) > LONGEST:
                     del self.words[w]
         return [b"".join(f) for f in found]
 
 
+def _holes(values: list) -> list[int]:
+    """Where the list has None."""
+    out, i = [], -1
+    try:
+        while True:
+            i = values.index(None, i + 1)
+            out.append(i)
+    except ValueError:
+        return out
+
+
 _encoders: dict[str, Encoder] = {}
 
 
