@@ -5,7 +5,8 @@ and two sets share it about as often as they share elements. Texts with equal sh
 Classes that agree on a whole band meet in its bucket. A bucket is never expanded into pairs. First every class is
 verified against the least class it meets. Then parts that still meet, through classes of some likeness, form families;
 in a family each class outside its largest part is compared with every class of another part, in blocks that ship a
-set once: by registers, and where those leave a chance, on the full sets. Only links that join parts are emitted.
+set once: by registers, and where those leave a chance, on the full sets. Last, a bucket's members outside the family
+of its least class are compared with all its members of another family. Only links that join parts are emitted.
 
 With ``_BANDS`` bands of ``_ROWS`` registers a pair of similarity 0.8 is never in one bucket with a chance of 5e-7.
 """
@@ -13,7 +14,7 @@ With ``_BANDS`` bands of ``_ROWS`` registers a pair of similarity 0.8 is never i
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -177,7 +178,8 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_co
     alike = cut(_estimated(near.select("a", "b"), reps, _FAMILY, _ODDS), "alike")
     families = connected(near.join(alike, ["a", "b"], "left_semi").select(F.col("part_a").alias("a"), F.col("part_b").alias("b")))
     more = cut(_in_families(met, roots, families, reps, sets, percent), "links")
-    roots = connected(links.union(more))
+    rest = cut(_in_buckets(members, met, roots, families, reps, sets, percent), "links")
+    roots = connected(links.union(more).union(rest))
 
     same = classes.join(roots.withColumnRenamed("id", "class_id"), "class_id", "left").select(F.col("digest").alias("g"), "class_id", F.coalesce("root", "class_id").alias("component_id"))
     joined = sketches.select("doc_id", "n_shingles", "digest").join(cut(same, "components"), F.col("digest") == F.col("g"), "left")
@@ -212,11 +214,81 @@ def _in_families(met: DataFrame, roots: DataFrame, families: DataFrame, reps: Da
     turn = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     heads = placed.filter("part <> largest").select(F.lit(0).alias("side"), "family", turn(F.col("heads")).alias("head"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "part", "id", "registers", "elements")
     members = placed.select(F.lit(1).alias("side"), "family", F.explode(F.sequence(F.lit(0), F.col("heads") - 1)).alias("head"), turn(F.col("chunks")).alias("chunk"), "part", "id", "registers", "elements")
+    columns = ("side", "family", "head", "chunk", "part", F.col("part").alias("group"), "id", "registers", "elements")
     kind = dict(reps.dtypes)["id"]
+    return heads.unionByName(members).select(*columns).groupBy("family", "head", "chunk").applyInArrow(_linker(percent), f"a {kind}, b {kind}")
+
+
+def _in_buckets(members: DataFrame, met: DataFrame, roots: DataFrame, families: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between families that meet in a bucket: its classes outside its hub's family against all its classes.
+
+    Registers alone go first, so that full sets are shipped only for classes that may have a partner.
+    """
+    parts = met.select("id").join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("part"))
+    grouped = parts.join(families.select(F.col("id").alias("part"), F.col("root").alias("family")), "part", "left")
+    grouped = cut(grouped.select("id", "part", F.coalesce("family", "part").alias("group")), "groups")
+    placed = members.join(grouped, "id").join(grouped.select(F.col("id").alias("hub"), F.col("group").alias("hub_group")), "hub")
+    placed = placed.select("bucket", "id", "part", "group", (F.col("group") != F.col("hub_group")).alias("strange"))
+    # Of two members, the hub and a stranger, nothing is left to compare.
+    strange = placed.groupBy("bucket").agg(F.count_if("strange").alias("strangers"), F.count("*").alias("all")).filter("strangers > 0 and `all` > 2").drop("strangers", "all")
+    kept = cut(placed.join(strange, "bucket"), "strangers")
+    kind, bucket = dict(reps.dtypes)["id"], dict(members.dtypes)["bucket"]
+    may = _cells(kept.join(reps.select("id", "n", "registers"), "id")).groupBy("bucket", "head", "chunk").applyInArrow(_marker(percent), f"bucket {bucket}, id {kind}")
+    worth = cut(kept.join(may.distinct(), ["bucket", "id"], "left_semi"), "worth")
+    full = _cells(worth.join(reps.select("id", "registers"), "id").join(sets, "id"))
+    return full.groupBy("bucket", "head", "chunk").applyInArrow(_linker(percent), f"a {kind}, b {kind}")
+
+
+def _cells(placed: DataFrame) -> DataFrame:
+    """``placed`` dealt over the cells of its buckets: side 0 its strangers, side 1 all its classes."""
+    blocks = lambda n, per: F.ceil(n / F.lit(per)).cast("int")
+    shape = placed.groupBy("bucket").agg(blocks(F.count_if("strange"), _HEADS).alias("heads"), blocks(F.count("*"), _MEMBERS).alias("chunks")).filter("heads > 0")
+    shaped = placed.join(shape, "bucket")
+    turn = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    heads = shaped.filter("strange").withColumns({"side": F.lit(0), "head": turn(F.col("heads")), "chunk": F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))})
+    return heads.unionByName(shaped.withColumns({"side": F.lit(1), "head": F.explode(F.sequence(F.lit(0), F.col("heads") - 1)), "chunk": turn(F.col("chunks"))}))
+
+
+def _partners(regs: np.ndarray, n: np.ndarray, group: np.ndarray, to: np.ndarray, i: int, percent: int) -> np.ndarray:
+    """Those of ``to`` outside i's group that sizes and registers leave a chance, the likeliest first."""
+    keep = to[(group[to] != group[i]) & (100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i]))]
+    keep = keep[(regs[keep] == regs[i]).sum(1) > _M * (percent / 100 - 0.25)]
+    if not len(keep):
+        return keep
+    estimate, lost = joint_estimate(regs[keep], np.broadcast_to(regs[i], (len(keep), _M)), n[keep], np.full(len(keep), n[i]), percent / 100)
+    return keep[lost < _ODDS][np.argsort(-estimate[lost < _ODDS], kind="stable")]
+
+
+def _codes(values: list) -> np.ndarray:
+    number = {v: k for k, v in enumerate(dict.fromkeys(values))}
+    return np.array([number[v] for v in values])
+
+
+def _marker(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Marks the classes of a cell that have a partner there by their registers."""
+
+    def mark(cell: pa.Table) -> pa.Table:
+        side, n = cell.column("side").to_numpy(), cell.column("n").to_numpy().astype(float)
+        group = _codes(cell.column("group").to_pylist())
+        regs = np.frombuffer(b"".join(cell.column("registers").to_pylist()), np.uint16).reshape(-1, _M)
+        marked, to = np.zeros(len(side), bool), np.flatnonzero(side == 1)
+        for i in np.flatnonzero(side == 0).tolist():
+            partners = _partners(regs, n, group, to, i, percent)
+            if len(partners):
+                marked[i] = True
+                marked[partners] = True
+        return cell.select(["bucket", "id"]).filter(pa.array(marked))
+
+    return mark
+
+
+def _linker(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links of a cell's classes on side 0 with those of another group on side 1, as far as they join parts."""
 
     def link(cell: pa.Table) -> pa.Table:
         side = cell.column("side").to_numpy()
         ids, parts = cell.column("id").to_pylist(), cell.column("part").to_pylist()
+        group = _codes(cell.column("group").to_pylist())
         regs = np.frombuffer(b"".join(cell.column("registers").to_pylist()), np.uint16).reshape(-1, _M)
         elements = [np.frombuffer(x, np.uint64) for x in cell.column("elements").to_pylist()]
         n = np.array([len(x) for x in elements], float)
@@ -229,20 +301,14 @@ def _in_families(met: DataFrame, roots: DataFrame, families: DataFrame, reps: Da
             return p
 
         found, to = [], np.flatnonzero(side == 1)
-        number = {p: k for k, p in enumerate(root)}
-        code = np.array([number[p] for p in parts])
         for i in np.flatnonzero(side == 0).tolist():
-            same = (regs[to] == regs[i]).sum(1)
-            keep = to[(code[to] != code[i]) & (100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i])) & (same > _M * (percent / 100 - 0.25))]
-            if len(keep):
-                estimate, lost = joint_estimate(regs[keep], np.broadcast_to(regs[i], (len(keep), _M)), n[keep], np.full(len(keep), n[i]), percent / 100)
-                for j in keep[lost < _ODDS][np.argsort(-estimate[lost < _ODDS], kind="stable")].tolist():
-                    if find(parts[i]) != find(parts[j]) and _similar(elements[i], elements[j], percent):
-                        root[find(parts[i])] = find(parts[j])
-                        found.append((ids[i], ids[j]))
+            for j in _partners(regs, n, group, to, i, percent).tolist():
+                if find(parts[i]) != find(parts[j]) and _similar(elements[i], elements[j], percent):
+                    root[find(parts[i])] = find(parts[j])
+                    found.append((ids[i], ids[j]))
         return pa.table({"a": pa.array([a for a, _ in found], cell.schema.field("id").type), "b": pa.array([b for _, b in found], cell.schema.field("id").type)})
 
-    return heads.unionByName(members).groupBy("family", "head", "chunk").applyInArrow(link, f"a {kind}, b {kind}")
+    return link
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:

@@ -53,6 +53,16 @@ def test_near_duplicates(spark, words):
     assert got == components(rows, words, 80)
 
 
+def test_near_duplicates_behind_unlike_hubs(spark):
+    """Excerpts with lesser ids stand before two versions of a page in every bucket that these share, each too short to be like them."""
+    r = random.Random(1)
+    page = [f"w{k}" for k in range(1000)]
+    rows = [(d, " ".join(r.sample(page, 340))) for d in range(3000)]
+    rows += [(9000, " ".join(page)), (9001, " ".join(page[50:] + [f"x{k}" for k in range(50)]))]
+    got = {x.doc_id: x.component_id for x in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=1).collect()}
+    assert got == {**{d: d for d in range(3000)}, 9000: 9000, 9001: 9000}
+
+
 def test_near_duplicates_of_odd_rows(spark, odd, empty):
     got = neardup.near_duplicates(odd, words=2).collect()
     assert len(got) == odd.count()
