@@ -1,11 +1,12 @@
 """Licence recognition by sentences, in DataFrame expressions only.
 
-A text is cut into sentences, each is normalised and looked up among known licence sentences; the identifiers'
-sequence is matched against ordered rules, each of which takes its part of the sequence out before the next one looks.
+A text is cut into sentences, each is normalised and looked up among known licence sentences; a wrapped sentence is
+looked up whole before its lines are, and signs of comments at the ends of lines do not count. The identifiers' sequence is matched against ordered rules, each of which takes its part of the sequence out before the next one looks.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -65,15 +66,25 @@ RULES = [
     ("MPL", ("MPLref",), "copyleft"),
     ("Proprietary", ("AllRights",), "restricted"),
 ]
-_WORTH = r"(?i)licen[sc]e|permission|redistribut|public domain|free software|cc0|as is|rights reserved|liable"
-_ENDS = r"[.!?;]+\s+|\n+|[.!?;]+$"
+_WORTH = r"licen[sc]e|permission|redistribut|public domain|free software|cc0|as is|rights reserved|liable"
+#: Where a text is cut, coarse to fine: sentences (a URL set apart belongs to what stands before it), clauses, lines. What is known is cut no further.
+_CUTS = (r"[.!?]+\s+|[.!?]+$|:[ \t\r]*\n(?!\s*https?://)|\n[ \t\r]*\n(?!\s*https?://)", r";+\s+", r"\n+")
+#: Signs of comments at a line's start and end.
+_COMMENT = r"(?m)^[ \t]*(?:<!--+|/?\*+/?|//+|#+|;+|--+|%+)[ \t]*|[ \t]*(?:\*+/?|--+>)[ \t\r]*$"
+_VERSION = r"(?<![a-z0-9])[0-9]+(?:\.[0-9]+)*$|(?<=version )[0-9]+(?:\.[0-9]+)*"
 
 
 def normalised(sentence: Column) -> Column:
     """Lower case, words apart by one space, punctuation gone but for the point of a number; version numbers become <n> except 2.0."""
     plain = F.regexp_replace(F.lower(sentence), r"(?<![0-9])\.|\.(?![0-9])|[^a-z0-9.]+", " ")
     plain = F.trim(F.regexp_replace(plain, r"\s+", " "))
-    return F.when(plain.rlike(r"apache license"), plain).otherwise(F.regexp_replace(plain, r"(?<![a-z0-9])[0-9]+(?:\.[0-9]+)*$|(?<=version )[0-9]+(?:\.[0-9]+)*", "<n>"))
+    return F.when(plain.rlike(r"apache license"), plain).otherwise(F.regexp_replace(plain, _VERSION, "<n>"))
+
+
+def _worth(sentences: list[tuple[str, str]]) -> str:
+    """A pattern that every text with a known sentence matches: the common words, and the longest word of each sentence that has none of them."""
+    more = {max(re.findall("[a-z0-9]+", text), key=len) for _, text in sentences if not re.search(_WORTH, text)}
+    return "(?i)" + "|".join([_WORTH, *sorted(more)]).replace(" ", "[^a-z0-9]+")
 
 
 def scan_licenses(docs: DataFrame, *, sentences: list[tuple[str, str]] | None = None, rules: list[tuple[str, tuple[str, ...], str]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,10 +96,20 @@ def scan_licenses(docs: DataFrame, *, sentences: list[tuple[str, str]] | None =
     """
     sentences, rules = sentences or SENTENCES, rules or RULES
     rows = id_text(docs, id_col, text_col)
-    known = F.create_map(*(F.lit(x) for name, text in sentences for x in (text, name)))
-    cut = F.transform(F.filter(F.split("text", _ENDS), lambda s: s.rlike(_WORTH)), normalised)
-    ids = F.filter(F.transform(cut, lambda s: F.element_at(known, s)), lambda x: x.isNotNull())
-    found = F.when(F.col("text").rlike(_WORTH), ids).otherwise(F.array().cast("array<string>"))
+    # Known sentences as given and as normalisation leaves them.
+    names = {text: name for name, text in sentences} | {re.sub(_VERSION, "<n>", text): name for name, text in sentences if "apache license" not in text}
+    known = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+    worth = _worth(sentences)
+
+    def identified(part: Column, cuts: tuple[str, ...]) -> Column:
+        pieces = F.filter(F.split(part, cuts[0]), lambda s: s.rlike(worth))
+        name = lambda s: F.element_at(known, normalised(s))
+        if len(cuts) == 1:
+            return F.transform(pieces, name)
+        return F.flatten(F.transform(pieces, lambda s: let(name(s), lambda x: F.when(x.isNotNull(), F.array(x)).otherwise(identified(s, cuts[1:])))))
+
+    ids = F.filter(identified(F.regexp_replace("text", _COMMENT, ""), _CUTS), lambda x: x.isNotNull())
+    found = F.when(F.col("text").rlike(worth), ids).otherwise(F.array().cast("array<string>"))
     out = rows.select("doc_id", found.alias("sentence_ids"))
     # The sequence as text: ";a;;b;". A rule's matches become ";!;", which no later rule takes for a sentence.
     none = F.struct(F.lit("").alias("left"), F.array().cast("array<string>").alias("names"), F.array().cast("array<string>").alias("classes"), F.lit(0).cast("long").alias("n"))
