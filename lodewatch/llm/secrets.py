@@ -2,7 +2,7 @@
 
 Candidates are what the fixed patterns find and, beyond them, long mixed tokens. For each candidate's hash the distinct
 repositories and owners that hold it are counted over the whole corpus: a value that many owners have copied is an
-example, one that a single owner holds looks live. Mixed tokens are only taken as secrets if they look live.
+example, one that fewer hold looks live. Mixed tokens are only taken as secrets if they look live.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 #: Runs of fewer signs fail whole, so asking for the length at once finds the same matches.
 ACCESS = "AKIA[A-Z0-9]{16,}+"
 HEX = "[0-9a-f]{24,}+"
-#: A whole run of 20 to 200 signs with a capital, a small letter and two digits, tried once for each run.
-MIXED = r"(?<![A-Za-z0-9+/_=-])(?=[a-z0-9+/_=-]*+[A-Z])(?=[A-Z0-9+/_=-]*+[a-z])(?=[A-Za-z+/_=-]*+[0-9][A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,200}+(?![A-Za-z0-9+/_=-])"
+#: A whole run of 20 signs or more with a capital, a small letter and two digits, tried once for each run.
+MIXED = r"(?<![A-Za-z0-9+/_=-])(?=[a-z0-9+/_=-]*+[A-Z])(?=[A-Z0-9+/_=-]*+[a-z])(?=[A-Za-z+/_=-]*+[0-9][A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}+"
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -58,7 +58,7 @@ def find_secrets(docs: DataFrame, *, min_copiers: int = 5, id_col: str = "doc_id
         at = lambda s: F.element_at("known", s["hash"])
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["hash"].alias("hash"), at(s)["repos"].alias("repos"), at(s)["owners"].alias("owners"), (at(s)["owners"] >= min_copiers).alias("example")))
 
-    live = F.filter(told(F.col("mixed")), lambda s: s["owners"] == 1)
+    live = F.filter(told(F.col("mixed")), lambda s: ~s["example"])
     return joined.select("doc_id", *(told(F.col(k)).alias(k) for k in KINDS), live.alias("mixed"), "same")
 
 

@@ -76,6 +76,17 @@ def test_examples_and_live_secrets(spark):
     assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
 
 
+def test_mixed_tokens_of_few_owners_and_long_ones(spark):
+    shared, example, long = "Zm9vYmFyMTIzNDU2Nzg5Cg77", "Ym9vYmFyMTIzNDU2Nzg5Cg88", "aB3d" * 500
+    rows = [(i, f"key {shared} ok", f"owner{i}") for i in range(4)] + [(10 + i, f"key {example} ok", f"owner{i}") for i in range(5)] + [(20, f"key {long} ok", "owner0")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.mixed for r in secrets.find_secrets(df).collect()}
+    assert all([(s.start, s.end, s.owners, s.example) for s in got[i]] == [(4, 28, 4, False)] for i in range(4))
+    assert all(got[10 + i] == [] for i in range(5)) and [(s.start, s.end) for s in got[20]] == [(4, 2004)]
+    out = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert out == {i: t if 10 <= i < 15 else "key [SECRET] ok" for i, t, _ in rows}
+
+
 def brute_contexts(texts, rounds=3, min_seeds=3, min_confidence=0.5):
     """The contextual method, document by document, in plain Python: spans found by contexts."""
 
