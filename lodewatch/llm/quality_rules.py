@@ -1,8 +1,8 @@
 """Quality rules from line frequency across documents, in DataFrame expressions only.
 
 Lines are normalised (lower case, white space collapsed) and hashed; for each host the distinct documents that
-hold a line are counted. Lines in more than ``max_docs`` documents of a host are boilerplate there and go;
-a document left with under ``min_left`` of its words is depleted. Beside it stand per-document base figures.
+hold a line are counted. Lines in more than ``max_docs`` documents of a host, or on smaller hosts in more than
+``max_share`` of them and ``min_docs``, are boilerplate there and go; a document left with under ``min_left`` of its words is depleted. Beside it stand per-document base figures.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.lower(F.regexp_replace(line, _BLANK, " ")))
 
 
-def line_quality(docs: DataFrame, *, max_docs: int = 100, min_left: float = 0.3, min_words: int = 50, max_repeat: float = 0.5, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+def line_quality(docs: DataFrame, *, max_docs: int = 100, max_share: float = 0.3, min_docs: int = 5, min_left: float = 0.3, min_words: int = 50, max_repeat: float = 0.5, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """One row a row of ``docs``: doc_id, text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_line_words, boilerplate (positions of lines), base_failed, kept.
 
     A null text has no words (base_failed); a null host is a host of its own. Copies of one text count as one
@@ -72,7 +72,11 @@ def line_quality(docs: DataFrame, *, max_docs: int = 100, min_left: float = 0.3,
     lines = rows.select("doc_id", "host", "same", line).withColumn("key", normal_line(F.col("line"))).filter("key <> ''")
     # A line's words are counted before any shuffle, so that no line's text is dealt out.
     lines = lines.select("doc_id", "host", "same", "pos", F.size(F.split("key", " ")).cast("long").alias("n"), F.xxhash64("key").alias("key"))
-    frequent = lines.groupBy("host", "key").agg(F.count_distinct("same").alias("n")).filter(F.col("n") > max_docs).select(F.col("host").alias("host_"), F.col("key").alias("key_"))
+    # No line can be boilerplate below the least limit, so few are left for the join with their hosts' sizes.
+    often = lines.groupBy("host", "key").agg(F.count_distinct("same").alias("n")).filter(F.col("n") > min(max_docs, min_docs)).select(F.col("host").alias("host_"), F.col("key").alias("key_"), "n")
+    hosts = rows.groupBy("host").agg(F.count_distinct("same").alias("texts"))
+    limit = F.least(F.lit(max_docs), F.greatest(F.lit(min_docs), F.lit(max_share) * F.col("texts")))
+    frequent = often.join(hosts, F.col("host").eqNullSafe(F.col("host_"))).filter(F.col("n") > limit).select("host_", "key_")
     hit = lines.join(frequent, F.col("host").eqNullSafe(F.col("host_")) & (F.col("key") == F.col("key_")), "left_semi")
     per_doc = hit.select("doc_id", "host", "same", "pos", "n").dropDuplicates(["doc_id", "host", "same", "pos"]).groupBy("doc_id", "host", "same").agg(F.sum("n").alias("n_line_words"), F.sort_array(F.collect_list("pos")).alias("boilerplate"))
     b = per_doc.select(F.col("doc_id").alias("d"), F.col("host").alias("h"), F.col("same").alias("s"), "n_line_words", "boilerplate")

@@ -51,6 +51,16 @@ def test_boilerplate_lines_and_depleted_documents(spark):
     assert {r.doc_id: r.text for r in quality_rules.clean_text(judged).collect()}[0] == body(0)
 
 
+def test_boilerplate_of_small_hosts(spark):
+    body = lambda h, i: "\n".join(" ".join(f"{h}{i}x{k}y{j}" for j in range(10)) for k in range(6))
+    rows = [(100 * n + i, f"All about us\n{body(h, i)}" + ("\nsome have this" if i < 6 else ""), h) for n, (h, size) in enumerate([("a", 40), (None, 10), ("c", 5)]) for i in range(size)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.boilerplate for r in quality_rules.line_quality(df).collect()}
+    for d, _, h in rows:
+        few = h is None and d % 100 < 6
+        assert got[d] == (None if h == "c" else [0, 7] if few else [0])
+
+
 def brute_hits(text, items, window=10):
     w, hit, which = decontam.words_of(text), set(), set()
     for item, t in items:
