@@ -99,24 +99,34 @@ def _windowed(template: Template, turns: list[Turn]) -> tuple[str, list] | None:
     return parts[0], spans
 
 
-def render(template: Template, turns: list[Turn]) -> tuple[str, list | None, int | None]:
+def render(template: Template, turns: list[Turn], local: bool = False) -> tuple[str, list | None, int | None]:
     """(formatted, spans, turn at which history was rewritten).
 
     A span is (start, end, text start, text end) in characters. If history is rewritten there are no spans, since
-    what an earlier turn had been given is gone, and the third value tells the first turn that did it.
+    what an earlier turn had been given is gone, and the third value tells the first turn that did it. Every prefix is
+    rendered, unless the template is declared ``local``: what it adds for a turn then depends on the few turns before
+    alone, and windows do for long conversations. A rewrite that is gone again at the next whole render is missed
+    only if that is not so. A template that does not take a window is rendered prefix by prefix too.
     """
-    if len(turns) > EXACT_TURNS and (got := _windowed(template, turns)):
-        return *got, None
+    if local and len(turns) > EXACT_TURNS:
+        try:
+            got = _windowed(template, turns)
+        except Exception:  # whatever a template raises on turns out of their context
+            got = None
+        if got:
+            return *got, None
     return _exact(template, turns)
 
 
-def format_chats(conversations: DataFrame, *, template: Template = instruct_template, loss_roles: tuple[str, ...] = ("assistant",), conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def format_chats(conversations: DataFrame, *, template: Template = instruct_template, local: bool | None = None, loss_roles: tuple[str, ...] = ("assistant",), conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row a conversation: conv_id, formatted, spans (role, start, end, text_start, text_end, loss), rewrites_at.
 
     Rows are ordered by turn, then role and text, so ties have one order and repeated rows stay. A null role or text
     is empty; a null conversation id is a conversation of its own; an empty table gives no row. Where the template
-    rewrites history, spans are null and nothing is under the loss mask.
+    rewrites history, spans are null and nothing is under the loss mask. ``local`` is as in ``render``; by default
+    only the instruct template is.
     """
+    local = template is instruct_template if local is None else local
     c = lambda name: F.col(f"`{name}`")
     rows = conversations.select(c(conv_col).alias("conv_id"), F.struct(c(turn_col).alias("turn"), F.coalesce(c(role_col).cast("string"), F.lit("")).alias("role"), F.coalesce(c(text_col).cast("string"), F.lit("")).alias("text")).alias("row"))
     grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("turns"))
@@ -127,7 +137,7 @@ def format_chats(conversations: DataFrame, *, template: Template = instruct_temp
             texts, all_spans, at = [], [], []
             for turns in batch.column("turns").to_pylist():
                 pairs = [(t["role"], t["text"]) for t in turns]
-                out, spans, rewritten = render(template, pairs)
+                out, spans, rewritten = render(template, pairs, local)
                 texts.append(out)
                 at.append(rewritten)
                 all_spans.append(None if spans is None else [{"role": r, "start": a, "end": b, "text_start": x, "text_end": y, "loss": r in loss_roles} for (r, _), (a, b, x, y) in zip(pairs, spans, strict=True)])

@@ -125,6 +125,21 @@ def test_templates_that_rewrite_history():
     assert chat.render(strips, long)[2] == 151
 
 
+def test_long_chats_of_templates_that_are_not_local():
+    def once(turns):  # the 100th prefix alone has its first turn changed
+        return "".join(f"{r}: {'!' if len(turns) == 100 and k == 0 else t}\n" for k, (r, t) in enumerate(turns))
+
+    def strict(turns):
+        if any(r != ["user", "assistant"][k % 2] for k, (r, _) in enumerate(turns)):
+            raise ValueError("roles must alternate")
+        return "".join(f"{r}: {t}\n" for r, t in turns)
+
+    turns = [("user", "a"), ("assistant", "b")] * 80
+    assert chat.render(once, turns)[1:] == (None, 99)
+    for local in (False, True):
+        assert chat.render(strict, turns, local) == chat._exact(strict, turns)
+
+
 def test_encoder_equals_library():
     enc = encoder(tokenizer_path())
     texts = [prose(s, 50) for s in range(5)] + ["Don't  STOP!! <|endoftext|>x été\tİ ﬁ ΣΣς 123", "", "\n", "日本語", "a" * 3000, "Å̊ é É", "the, the. The;", "word\x1cword", "$$$the&&& 'sword it's' (o'clock') |x| <|x|> <|startoftext|> a_b_ <b>the</b> --the-- é'"]
