@@ -31,22 +31,26 @@ def _power(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of the bytes; equal spans have equal hashes, wherever they stand."""
+    power, inverse = _power(len(buf) + 1)
+    total = np.empty(len(buf) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(_SIGN[buf] * power[: len(buf)], out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The words' hashes (runs of anything but space and U+0009 to U+000D, A-Z lower-cased) and where each text's words end."""
     joined = b"\n".join(texts).translate(_LOWER) + b"\n"
     buf = np.frombuffer(joined, np.uint8)
-    power, inverse = _power(len(buf) + 1)
     blank = _SPACE[buf]
     edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     if not blank[0]:
         edges = np.concatenate([[0], edges])
     starts, ends = edges[0::2], edges[1::2]
-    total = np.empty(len(buf) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(_SIGN[buf] * power[: len(buf)], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
     text_ends = np.cumsum([len(t) + 1 for t in texts])
-    return hashes, np.searchsorted(starts, text_ends)
+    return span_hashes(buf, starts, ends), np.searchsorted(starts, text_ends)
 
 
 def shingle_sets(texts: list[str], words: int, chunk_bytes: int = 1 << 20) -> Iterator[np.ndarray]:

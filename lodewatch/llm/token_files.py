@@ -31,11 +31,13 @@ def _kind(width: int) -> str:
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int | None = 1, sample_docs: int = 1024, sample_chars: int = 4096, size: int = 32768) -> DataFrame:
     """One row (sha256, dictionary, width): a zstandard dictionary of at most ``size`` bytes.
 
-    It is fitted to the first ``sample_chars`` characters of the ``sample_docs`` documents whose hashed id is
-    smallest, so its cost does not grow with the corpus; it only affects the files' size, never what they hold.
-    With too little to train on, the sample itself is the dictionary; an empty table gives an empty one.
+    It is fitted to a piece of ``sample_chars`` characters, from a hashed place, of each of the ``sample_docs``
+    documents whose hashed id is smallest, so its cost does not grow with the corpus; it only affects the files'
+    size, never what they hold. With too little to train on, the sample itself is the dictionary; an empty table gives
+    an empty one.
     """
-    sample = id_text(docs).select(F.xxhash64("doc_id").alias("h"), F.substring("text", 1, sample_chars).alias("text")).orderBy("h", "text").limit(sample_docs)
+    place = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.length("text") - sample_chars + 1)).cast("int") + 1
+    sample = id_text(docs).select(F.xxhash64("doc_id").alias("h"), F.substring("text", place, F.lit(sample_chars)).alias("text")).orderBy("h", "text").limit(sample_docs)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard as zstd
@@ -52,10 +54,11 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int | None = 1, sa
     return sample.coalesce(1).mapInArrow(train, "sha256 string, dictionary binary, width int")
 
 
-def write_token_files(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: int | None = 1, level: int = 1, block_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text") -> str:
+def write_token_files(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: int | None = 1, level: int = 1, block_bytes: int = 4 << 20, range_bytes: int = 128 << 20, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Encodes every whole text (null: empty), appends ``end_id`` and writes the files described above to ``path``.
 
-    Rows are dealt by ranges of id and sorted inside each range, so shards follow one another in ascending order.
+    Rows are dealt by ranges of id, as many as ``range_bytes`` of text need each, and sorted inside each range, so shards
+    follow one another in ascending order and a task stays of one size, however large the corpus.
     Repeated ids each keep their frame, in the order of their texts' hashes; a null id comes first. No row is
     dropped; an empty table writes no block. Other columns are not looked at.
     """
@@ -95,7 +98,9 @@ def write_token_files(docs: DataFrame, path: str, *, tokenizer: str | None = Non
         if ids:
             yield flush()
 
-    dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(-(-size // range_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(ranges, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     dealt.mapInArrow(encode, schema).write.option("compression", "none").parquet(f"{path}/blocks")
     return path
 

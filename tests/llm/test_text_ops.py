@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from lodewatch.llm import chat, decontam, packing, quality_rules, token_files
+from lodewatch.llm import chat, decontam, packing, quality_rules, token_files, tokens
 from lodewatch.llm._common import work_dir
 from lodewatch.llm.tokens import encoder, tokenizer_path
 
@@ -146,6 +146,19 @@ def test_encoder_equals_library():
     assert [np.frombuffer(x, enc.kind).tolist() for x in enc.encode(texts)] == [e.ids for e in enc.whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_encoder_on_random_unicode_and_a_full_cache(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 300)
+    enc, r = tokens.Encoder(tokenizer_path()), random.Random(1)
+    pool = ["a", "B", "é", "É", "ß", "Ÿ", "÷", "×", "'", "'s", "'re", "<|", "|>", "<|endoftext|>", " ", "\n", "\t", "1", "99", "ﬁ", "日", "😀", "\u0301", "İ", "Σ", "-", "_", ".", "!!", "\u00a0", "\x85", "\x00", "\u212a", "ª", "the", "ing", "~", "\r", "x" * 70, "ab" * 40]
+    texts = ["".join(r.choice(pool) for _ in range(r.randint(0, 60))) for _ in range(800)]
+    texts += ["".join(chr(r.choice([r.randint(0, 0x250), r.randint(0, 0x2FFF), r.randint(0xE000, 0x1FFFF)])) for _ in range(30)) for _ in range(400)]
+    texts += [prose(s, 300, 400) for s in range(20)]
+    for i in range(0, len(texts), 50):
+        part = texts[i : i + 50]
+        assert [x.tolist() for x in enc.encode(part)] == [e.ids for e in enc.whole.encode_batch(part, add_special_tokens=False)]
+    assert 0 < len(enc.words.met) <= 300 + 2000
+
+
 def test_token_files(spark, odd, empty):
     path = token_files.write_token_files(odd, work_dir(spark, "t"), block_bytes=2000)
     rows = token_files.read_token_files(spark, path).orderBy("start").collect()
@@ -168,11 +181,14 @@ def test_packing(spark, odd, empty):
     rows = placed.collect()
     whole = encoder(tokenizer_path()).whole
     want = Counter((r.doc_id, len(whole.encode(r.text or "", add_special_tokens=False).ids) + 1) for r in df.collect())
-    got = Counter()
+    got, pieces = Counter(), Counter()
+    own = [[*whole.encode(r.text or "", add_special_tokens=False).ids, 1] for r in df.collect()]
+    cuts = Counter((r.doc_id, s, np.array(x[s : s + 256], "<u4").tobytes()) for r, x in zip(df.collect(), own) for s in range(0, len(x), 256))
     for r in rows:
+        pieces[r.doc_id, r.start, bytes(r.ids)] += 1
         got[r.doc_id, r.doc_tokens] += r.length
         assert zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length
-    assert got == {k: n * k[1] for k, n in want.items()}
+    assert got == {k: n * k[1] for k, n in want.items()} and pieces == cuts
     by = {}
     for r in rows:
         by.setdefault(r.sequence_id, []).append((r.offset, r.length))
@@ -202,3 +218,27 @@ def test_cutting_stock_is_near_its_bound():
             got[c] += a * n
     assert (got == demand).all()
     assert sum(n for _, n in uses) <= 1.01 * (demand * np.arange(65)).sum() / 64 + 1
+
+
+@pytest.mark.parametrize("shortest,longest", [(1, 1), (9, 9), (1, 39), (65, 65), (1, 2047)])
+def test_padding_of_any_lengths_is_little(shortest, longest):
+    lens = np.exp(np.random.default_rng(7).uniform(np.log(shortest), np.log(longest + 1), 100_000)).astype(int)
+    demand, classes = np.zeros(2049, np.int64), packing.class_lengths(2048)[1]
+    np.add.at(demand, classes[np.searchsorted(classes, lens)], 1)
+    uses = packing.cutting_stock(demand, 2048)
+    assert all(sum(c * a for c, a in copies.items()) <= 2048 for copies, _ in uses)
+    assert lens.sum() / (2048 * sum(n for _, n in uses)) >= 0.98
+
+
+def test_odd_pieces_have_places(spark):
+    """A third of all rows is one row without an id; full pieces and extra columns that clash."""
+    rows = [(None, 0, 9, "a")] * 400 + [(i, 0, 2048, "b") for i in range(300)] + [(i, 2048, 1 + i, "b") for i in range(300)]
+    pieces = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, start long, length long, `offset` string, piece_id long")
+    got = packing.place(pieces.withColumn("_class", packing.F.lit("z"))).collect()
+    assert Counter((r.doc_id, r.start, r.length) for r in got) == Counter(r[:3] for r in rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(by) == list(range(len(by)))
+    for parts in by.values():
+        assert all(a + n == b for (a, n), (b, _) in zip(sorted(parts), [*sorted(parts)[1:], (sum(n for _, n in parts), 0)]))
