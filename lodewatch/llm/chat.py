@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,9 +22,8 @@ Template = Callable[[list[Turn]], str]
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]")
 _ESCAPE = re.compile(r"\\|" + "|".join(map(re.escape, CONTROL)))
 _TURN = re.compile(r"<s>(.*?)\[INST\] (.*?) \[/INST\]</s>", re.S)
-#: Up to this many turns every prefix is rendered; beyond it, prefixes at doubling lengths vouch for windows.
-EXACT_TURNS = 64
-_WINDOW = 8
+#: Signs that may mark a text's place: those for private use, of which one that the output lacks is taken.
+_MARKS = tuple(map(chr, (*range(0xE000, 0xF900), *range(0xF0000, 0xF2000))))
 
 
 def escape(text: str) -> str:
@@ -34,9 +35,21 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(\\?)", r"\1", text)
 
 
+def _whole_turn(turn: Turn) -> str:
+    return f"<s>{escape(turn[0])}[INST] {escape(turn[1])} [/INST]</s>"
+
+
+#: Short turns are formatted once for all the prefixes they stand in.
+_short_turn = lru_cache(maxsize=4096)(_whole_turn)
+
+
+def _instruct(turn: Turn) -> str:
+    return _short_turn(turn) if len(turn[1]) < 1000 else _whole_turn(turn)
+
+
 def instruct_template(turns: list[Turn]) -> str:
     """The default template: every turn stands between control strings, which texts and roles cannot hold."""
-    return "".join(f"<s>{escape(role)}[INST] {escape(text)} [/INST]</s>" for role, text in turns)
+    return "".join(map(_instruct, turns))
 
 
 def parse_instruct(formatted: str) -> list[Turn]:
@@ -52,9 +65,9 @@ def parse_instruct(formatted: str) -> list[Turn]:
     return turns
 
 
-def _content(template: Template, before: list[Turn], turn: Turn, now: str) -> tuple[int, int] | None:
+def _content(template: Template, before: list[Turn], turn: Turn, now: str, marks: list[str]) -> tuple[int, int] | None:
     """Where the last turn's text stands in ``now``, by a marker in its place; None if the template hides it."""
-    for mark in ("\ue000", "\ue001", "\uf8ff"):
+    for mark in marks:
         probe = template([*before, (turn[0], mark)])
         if probe.count(mark) == 1:
             head, _, tail = probe.partition(mark)
@@ -63,73 +76,39 @@ def _content(template: Template, before: list[Turn], turn: Turn, now: str) -> tu
     return None
 
 
-def _exact(template: Template, turns: list[Turn]) -> tuple[str, list | None, int | None]:
-    last, spans = template([]) if turns else "", []
+def render(template: Template, turns: list[Turn]) -> tuple[str, list | None, int | None]:
+    """(formatted, spans, turn at which history was rewritten), from the renders of every prefix.
+
+    A span is (start, end, text start, text end) in characters. If history is rewritten there are no spans, since
+    what an earlier turn had been given is gone, and the third value tells the first turn that did it. A template
+    that drops a text, or shows it twice, gives that turn an empty text at its span's end. Markers are signs that
+    stand in no turn and not in the whole output. With n turns the template is called 2 n times, whatever n is.
+    """
+    whole, last, spans = template(turns), template([]) if turns else "", []
+    said = set(whole).union(*(set(r) | set(t) for r, t in turns))
+    marks = list(islice((m for m in _MARKS if m not in said), 3))
     for k, turn in enumerate(turns):
         now = template(turns[: k + 1])
         if not now.startswith(last):
-            return template(turns), None, k
-        text = _content(template, turns[:k], turn, now)
+            return whole, None, k
+        text = _content(template, turns[:k], turn, now, marks)
         spans.append((len(last), len(now), *(text or (len(now), len(now)))))
         last = now
     return last, spans, None
 
 
-def _windowed(template: Template, turns: list[Turn]) -> tuple[str, list] | None:
-    """Spans from renders of short windows, certified by whole renders at doubling lengths; None if they disagree."""
-    out, spans, rewritten = _exact(template, turns[:EXACT_TURNS])
-    if rewritten is not None:
-        return None
-    parts, total, check = [out], len(out), 2 * EXACT_TURNS
-    for k in range(EXACT_TURNS, len(turns)):
-        head = turns[k - _WINDOW : k]
-        last, now = template(head), template([*head, turns[k]])
-        if not now.startswith(last):
-            return None
-        text = _content(template, head, turns[k], now) or (len(now), len(now))
-        shift = total - len(last)
-        spans.append((total, len(now) + shift, text[0] + shift, text[1] + shift))
-        parts.append(now[len(last) :])
-        total += len(parts[-1])
-        if k + 1 == check or k + 1 == len(turns):
-            check *= 2
-            parts = ["".join(parts)]
-            if template(turns[: k + 1]) != parts[0]:
-                return None
-    return parts[0], spans
-
-
-def render(template: Template, turns: list[Turn], local: bool = False) -> tuple[str, list | None, int | None]:
-    """(formatted, spans, turn at which history was rewritten).
-
-    A span is (start, end, text start, text end) in characters. If history is rewritten there are no spans, since
-    what an earlier turn had been given is gone, and the third value tells the first turn that did it. Every prefix is
-    rendered, unless the template is declared ``local``: what it adds for a turn then depends on the few turns before
-    alone, and windows do for long conversations. A rewrite that is gone again at the next whole render is missed
-    only if that is not so. A template that does not take a window is rendered prefix by prefix too.
-    """
-    if local and len(turns) > EXACT_TURNS:
-        try:
-            got = _windowed(template, turns)
-        except Exception:  # whatever a template raises on turns out of their context
-            got = None
-        if got:
-            return *got, None
-    return _exact(template, turns)
-
-
-def format_chats(conversations: DataFrame, *, template: Template = instruct_template, local: bool | None = None, loss_roles: tuple[str, ...] = ("assistant",), conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def format_chats(conversations: DataFrame, *, template: Template = instruct_template, loss_roles: tuple[str, ...] = ("assistant",), conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row a conversation: conv_id, formatted, spans (role, start, end, text_start, text_end, loss), rewrites_at.
 
     Rows are ordered by turn, then role and text, so ties have one order and repeated rows stay. A null role or text
-    is empty; a null conversation id is a conversation of its own; an empty table gives no row. Where the template
-    rewrites history, spans are null and nothing is under the loss mask. ``local`` is as in ``render``; by default
-    only the instruct template is.
+    is empty; each row without a conversation id is a conversation of its own, so that such rows are no common group;
+    an empty table gives no row. Where the template rewrites history, spans are null and nothing is under the loss
+    mask. A conversation is rendered by one task.
     """
-    local = template is instruct_template if local is None else local
     c = lambda name: F.col(f"`{name}`")
     rows = conversations.select(c(conv_col).alias("conv_id"), F.struct(c(turn_col).alias("turn"), F.coalesce(c(role_col).cast("string"), F.lit("")).alias("role"), F.coalesce(c(text_col).cast("string"), F.lit("")).alias("text")).alias("row"))
-    grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("turns"))
+    alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    grouped = rows.groupBy("conv_id", alone.alias("alone")).agg(F.sort_array(F.collect_list("row")).alias("turns")).drop("alone")
     span = pa.struct([("role", pa.string()), *((x, pa.int64()) for x in ("start", "end", "text_start", "text_end")), ("loss", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +116,7 @@ def format_chats(conversations: DataFrame, *, template: Template = instruct_temp
             texts, all_spans, at = [], [], []
             for turns in batch.column("turns").to_pylist():
                 pairs = [(t["role"], t["text"]) for t in turns]
-                out, spans, rewritten = render(template, pairs, local)
+                out, spans, rewritten = render(template, pairs)
                 texts.append(out)
                 at.append(rewritten)
                 all_spans.append(None if spans is None else [{"role": r, "start": a, "end": b, "text_start": x, "text_end": y, "loss": r in loss_roles} for (r, _), (a, b, x, y) in zip(pairs, spans, strict=True)])
@@ -148,7 +127,10 @@ def format_chats(conversations: DataFrame, *, template: Template = instruct_temp
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """conv_id, turns (role, text; parsed from the default template's output), loss_text (all text under the loss mask, unescaped), formatted."""
+    """conv_id, turns (role, text; parsed from the default template's output), loss_text (all text under the loss mask, unescaped), formatted.
+
+    Null spans have no loss text; an empty table gives no row; text that the template cannot have written is an error.
+    """
     turn = pa.struct([("role", pa.string()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -120,12 +120,13 @@ def test_templates_that_rewrite_history():
     assert chat.render(strips, plain)[2] is None
     assert chat.render(strips, [("user", "a"), ("assistant", "(hm) b"), ("user", "c")])[1:] == (None, 2)
     long = [("user", "a"), ("assistant", "b")] * 80
-    assert chat.render(strips, long)[1] == chat._exact(strips, long)[1]
+    out, spans, _ = chat.render(strips, long)
+    assert [out[a:b] for a, b, _, _ in spans] == [f"{r}: {t}\n" for r, t in long]
     long[150] = ("user", "(x) y")
     assert chat.render(strips, long)[2] == 151
 
 
-def test_long_chats_of_templates_that_are_not_local():
+def test_long_chats_are_rendered_prefix_by_prefix():
     def once(turns):  # the 100th prefix alone has its first turn changed
         return "".join(f"{r}: {'!' if len(turns) == 100 and k == 0 else t}\n" for k, (r, t) in enumerate(turns))
 
@@ -134,10 +135,34 @@ def test_long_chats_of_templates_that_are_not_local():
             raise ValueError("roles must alternate")
         return "".join(f"{r}: {t}\n" for r, t in turns)
 
+    def thinks(turns):  # history changes if a tool answers in a chat that a system turn opened
+        think = turns and turns[0][0] == "system" and turns[-1][0] == "tool"
+        return ("[think]" if think else "") + "".join(f"{r}: {t}\n" for r, t in turns)
+
     turns = [("user", "a"), ("assistant", "b")] * 80
     assert chat.render(once, turns)[1:] == (None, 99)
-    for local in (False, True):
-        assert chat.render(strict, turns, local) == chat._exact(strict, turns)
+    out, spans, at = chat.render(strict, turns)
+    assert at is None and [out[a:b] for a, b, _, _ in spans] == [f"{r}: {t}\n" for r, t in turns] and [out[x:y] for _, _, x, y in spans] == [t for _, t in turns]
+    tools = [("system", "s"), *turns[:70], ("tool", "t"), *turns[:29]]
+    assert chat.render(thinks, tools)[2] == 71
+
+
+def test_texts_that_hold_markers_or_are_hidden():
+    marks = "\ue000\ue001\uf8ff"
+    turns = [("user", marks), ("assistant", f"say {marks}"), ("user", " b ")]
+    out, spans, _ = chat.render(chat.instruct_template, turns)
+    assert [chat.unescape(out[x:y]) for _, _, x, y in spans] == [t for _, t in turns]
+    trims = lambda turns: "".join(f"{r}: {t.strip()}\n" for r, t in turns)
+    out, spans, _ = chat.render(trims, turns)
+    assert [out[x:y] for _, _, x, y in spans] == [t.strip() for _, t in turns]
+    drops = lambda turns: "".join(f"{r}: {t if r == 'user' else ''}\n" for r, t in turns)
+    out, spans, at = chat.render(drops, turns)
+    assert at is None and [out[x:y] for _, _, x, y in spans] == [marks, "", " b "]
+
+
+def test_rows_without_a_conversation_stand_alone(spark):
+    df = spark.createDataFrame([(None, k, "user", f"t{k}") for k in range(20)] + [(None, 0, "user", "t0")], "conv_id long, turn long, role string, text string")
+    assert sorted(x.loss_text + x.turns[0].text for x in chat.read_back(chat.format_chats(df)).collect()) == sorted([f"t{k}" for k in range(20)] + ["t0"])
 
 
 def test_encoder_equals_library():
