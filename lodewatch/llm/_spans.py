@@ -30,19 +30,22 @@ def running_sum(values: Column) -> Column:
     return F.when(F.size(values) == 0, F.array().cast("array<int>")).when(F.size(values) <= _CHUNK, fold(values, F.lit(0))).otherwise(let(chunks, by_chunk))
 
 
-def matches(text: Column, pattern: str, worth: Column, group: int = 0) -> Column:
-    """array<struct<start,end,value,left>> of leftmost non-overlapping matches; positions in code points, end exclusive.
+def matches(text: Column, pattern: str, worth: Column, group: int = 0, around: Callable[[Column, Column, Column], Column] | None = None, kind: str = "") -> Column:
+    """array<struct<start,end,value>> of leftmost non-overlapping matches; positions in code points, end exclusive.
 
-    ``left`` is the text since the match before, cut to its last 80 characters; ``value`` is the group's text. ``worth`` is a cheap test: where it
-    is false there can be no match. The pattern must not match an empty string.
+    ``value`` is the group's text. ``worth`` is a cheap test: where it is false there can be no match. The pattern must
+    not match an empty string. ``around`` adds a field of that name and of type ``kind``, made of all matches, the
+    pieces of text between them (one more) and the match's number.
     """
-    none = F.array().cast("array<struct<start:int,`end`:int,value:string,left:string>>")
+    more = f",around:{kind}" if around else ""
+    none = F.array().cast(f"array<struct<start:int,`end`:int,value:string{more}>>")
     found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("p"), (F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else F.lit(None).cast("array<string>")).alias("g"))
 
     def build(q: Column) -> Column:
         ends = running_sum(F.transform(q["m"], lambda x, i: F.length(F.get(q["p"], i)) + F.length(x)))
         value = (lambda x, i: F.get(q["g"], i)) if group else lambda x, i: x
-        return let(ends, lambda e: F.transform(q["m"], lambda x, i: F.struct((F.get(e, i) - F.length(x)).alias("start"), F.get(e, i).alias("end"), value(x, i).alias("value"), F.right(F.get(q["p"], i), F.lit(80)).alias("left"))))
+        extra = (lambda i: [around(q["m"], q["p"], i).alias("around")]) if around else lambda i: []
+        return let(ends, lambda e: F.transform(q["m"], lambda x, i: F.struct((F.get(e, i) - F.length(x)).alias("start"), F.get(e, i).alias("end"), value(x, i).alias("value"), *extra(i))))
 
     return F.when(worth, let(found, build)).otherwise(none)
 

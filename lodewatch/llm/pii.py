@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contexts. DataFrame expressions only.
 
-What the fixed patterns find seeds the bootstrap. The two words before a seed are a lexical pattern; identifier-like
-tokens (with a digit, four signs or more, outside every fixed match) are instances of the patterns before them. Scores
-pass to and fro over the graph of distinct (pattern, instance) pairs: a pattern's confidence is the mean score of its
-instances, an instance's score the confidence of its best pattern, seeds stay at 1. Patterns of enough seeds and
-confidence at the end mark the unseen identifiers that stand behind them.
+What the fixed patterns find seeds the bootstrap. The two words before a seed are a lexical pattern, and so are the
+words on both its sides; identifier-like tokens (with a digit, four signs or more, outside every fixed match) are
+instances of the patterns around them. Scores pass to and fro over the graph of distinct (pattern, instance) pairs: a
+pattern's confidence is the mean score of its instances, an instance's score the confidence of its best pattern, seeds
+stay at 1. Scores only ever rise, and once none moves by more than a hundredth, patterns of enough seeds and confidence
+mark the unseen identifiers that stand in them.
 """
 
 from __future__ import annotations
@@ -43,31 +44,48 @@ def luhn(digits: Column) -> Column:
     return F.when(F.length(digits).between(13, 19), total % 10 == 0).otherwise(F.lit(False))
 
 
-def base_spans(text: Column) -> dict[str, Column]:
-    """The four kinds' spans; failing matches are dropped, without another try inside them."""
+def base_spans(text: Column, around: bool = False) -> dict[str, Column]:
+    """The four kinds' spans, with the patterns around them if asked for; failing matches are dropped, without another try inside them."""
     part = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+    found = lambda pattern, worth: matches(text, pattern, worth, around=_patterns if around else None, kind="array<string>")
     return {
-        "email": matches(text, EMAIL, F.instr(text, "@") > 0),
-        "ip": F.filter(matches(text, IP, text.rlike(r"[0-9]\.[0-9]")), lambda s: s["value"].rlike(rf"^{part}\.{part}\.{part}\.{part}$")),
-        "card": F.filter(matches(text, CARD, text.rlike(r"[0-9](?:[ -]?[0-9]){12}")), lambda s: let(_digits(s["value"]), luhn)),
-        "phone": F.filter(matches(text, PHONE, text.rlike(r"\+[0-9]")), lambda s: F.length(_digits(s["value"])).between(9, 15)),
+        "email": found(EMAIL, F.instr(text, "@") > 0),
+        "ip": F.filter(found(IP, text.rlike(r"[0-9]\.[0-9]")), lambda s: s["value"].rlike(rf"^{part}\.{part}\.{part}\.{part}$")),
+        "card": F.filter(found(CARD, text.rlike(r"[0-9](?:[ -]?[0-9]){12}")), lambda s: let(_digits(s["value"]), luhn)),
+        "phone": F.filter(found(PHONE, text.rlike(r"\+[0-9]")), lambda s: F.length(_digits(s["value"])).between(9, 15)),
     }
 
 
-def _context(left: Column) -> Column:
-    """The two words before, lower-cased; '' if there are not two in reach."""
-    return F.regexp_replace(F.lower(F.regexp_extract(left, r"(?:^|\s)([^\s]++\s++[^\s]++)\s*$", 1)), r"\s+", " ")
+def _patterns(found: Column, pieces: Column, i: Column) -> Column:
+    """The lexical patterns around match ``i``: the two words before it, and the words on both its sides, lower-cased.
 
+    Words may reach over three earlier matches of the same kind; a pattern whose words are not within reach is left out.
+    """
+    own = F.get(pieces, i)
+    reach = F.concat_ws("", F.when(i <= 3, "\n"), *(x for k in (3, 2, 1) for x in (F.get(pieces, i - k), F.get(found, i - k))), own)
+    two = r"\s([^\s]++\s++[^\s]++)\s*+$"
+    near = F.regexp_extract(F.right(own, F.lit(200)), two, 1)  # mostly enough, and far shorter
+    before = F.when(near != "", near).otherwise(F.regexp_extract(reach, two, 1))
+    after = F.regexp_extract(F.get(pieces, i + 1), r"^\s*+([^\s]++)", 1)
+
+    def named(x: Column) -> Column:
+        last = F.substring_index(x["before"], " ", -1)
+        sides = F.when((x["before"] != "") & (x["after"] != ""), F.concat(last, F.lit(" _ "), x["after"]))
+        return F.filter(F.array(F.when(x["before"] != "", x["before"]), sides), lambda p: p.isNotNull())
+
+    words = F.struct(F.regexp_replace(F.lower(before), r"\s+", " ").alias("before"), F.lower(after).alias("after"))
+    return let(words, named)
 
-def find_personal(docs: DataFrame, *, rounds: int = 3, min_seeds: int = 3, min_confidence: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def find_personal(docs: DataFrame, *, min_seeds: int = 3, min_confidence: float = 0.5, tolerance: float = 0.01, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a row of ``docs``: doc_id, email, ip, card, phone (arrays of start, end, value), found (likewise, by contexts).
 
-    A null text is empty and has no spans; repeated rows each keep theirs; contexts of fewer than two words are no
-    patterns. All documents take part in the scores. Pairs are made distinct before they are joined, so copies of a
-    document weigh once, and a pattern that a third of all rows share is summed before it is shuffled.
+    A null text is empty and has no spans; repeated rows each keep theirs; an empty table gives no row. All documents
+    take part in the scores. Pairs are made distinct before they are joined, so copies of a document weigh once, and a
+    pattern that a third of all rows share is summed before it is shuffled.
     """
     rows = id_text(docs, id_col, text_col).withColumn("same", F.xxhash64("text"))
-    found = rows.select("doc_id", "same", "text", *(s.alias(k) for k, s in base_spans(F.col("text")).items()))
+    found = rows.select("doc_id", "same", "text", *(s.alias(k) for k, s in base_spans(F.col("text"), around=True).items()))
     # A mask for each kind, one byte a character, "1" inside a match: a token's test then costs what its own length costs.
     blank = lambda n, c: F.repeat(F.lit(c), n)
 
@@ -77,27 +95,38 @@ def find_personal(docs: DataFrame, *, rounds: int = 3, min_seeds: int = 3, min_c
 
     def outside(masks: Column) -> Column:
         inside = lambda c: F.exists(masks, lambda m: F.substr(m, c["start"] + 1, c["end"] - c["start"]).cast("string").contains("1"))
-        return F.filter(matches(F.col("text"), TOKEN, F.col("text").rlike("[0-9]")), lambda c: ~inside(c))
+        return F.filter(matches(F.col("text"), TOKEN, F.col("text").rlike("[0-9]"), around=_patterns, kind="array<string>"), lambda c: ~inside(c))
 
     free = let(F.array(*(mask(k) for k in KINDS)), outside)
-    seed = lambda k: F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), _context(s["left"]).alias("context")))
-    base = cut(found.withColumn("free", free).select("doc_id", "same", *(seed(k).alias(k) for k in (*KINDS, "free"))), "personal")
-
-    edge = lambda k, is_seed: base.select(F.explode(k).alias("s")).select(F.xxhash64("s.context").alias("pattern"), F.xxhash64("s.value").alias("instance"), F.lit(is_seed).alias("seed"), "s.context").filter("context <> ''").drop("context")
-    edges = cut(reduce(DataFrame.unionByName, [*(edge(k, True) for k in KINDS), edge("free", False)]).groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    scored = edges.withColumn("score", F.col("seed").cast("double"))
-    trusted = None
-    for _ in range(rounds):
-        patterns = scored.groupBy("pattern").agg(F.avg("score").alias("confidence"), F.count_if("seed").alias("seeds")).filter(F.col("seeds") >= min_seeds)
-        trusted = cut(patterns, "patterns")
-        best = edges.join(trusted, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
-        scored = edges.join(cut(best, "instances"), "instance", "left").withColumn("score", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))))
-    sure = trusted.filter(F.col("confidence") >= min_confidence).select("pattern")
-    more = base.select("doc_id", "same", F.explode("free").alias("s")).withColumn("pattern", F.xxhash64("s.context")).join(sure, "pattern", "left_semi")
-    more = more.dropDuplicates(["doc_id", "same", "s"]).groupBy("doc_id", "same").agg(F.sort_array(F.collect_list("s")).alias("found")).select(F.col("doc_id").alias("d"), F.col("same").alias("t"), "found")
+    base = cut(found.withColumn("free", free).select("doc_id", "same", *KINDS, "free"), "personal")
+
+    around = lambda k, is_seed: base.select(F.explode(k).alias("s")).select(F.explode("s.around").alias("p"), "s.value").select(F.xxhash64("p").alias("pattern"), F.xxhash64("value").alias("instance"), F.lit(is_seed).alias("seed"))
+    edges = reduce(DataFrame.unionByName, [*(around(k, True) for k in KINDS), around("free", False)]).groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
+    sure = _confident(cut(edges, "edges"), min_seeds, tolerance).filter(F.col("confidence") >= min_confidence).select("pattern")
+    marked = base.select("doc_id", "same", F.explode("free").alias("s")).select("doc_id", "same", F.struct("s.start", "s.end", "s.value").alias("s"), F.explode("s.around").alias("p")).withColumn("pattern", F.xxhash64("p"))
+    more = marked.join(sure, "pattern", "left_semi").dropDuplicates(["doc_id", "same", "s"]).groupBy("doc_id", "same").agg(F.sort_array(F.collect_list("s")).alias("found")).select(F.col("doc_id").alias("d"), F.col("same").alias("t"), "found")
     joined = base.join(more, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("same") == F.col("t")), "left")
+    plain = lambda k: F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
     empty = F.array().cast(dict(more.dtypes)["found"])
-    return joined.select("doc_id", *KINDS, F.coalesce("found", empty).alias("found"))
+    return joined.select("doc_id", *(plain(k).alias(k) for k in KINDS), F.coalesce("found", empty).alias("found"))
+
+
+def _confident(edges: DataFrame, min_seeds: int, tolerance: float) -> DataFrame:
+    """pattern, confidence of the patterns of ``min_seeds`` seeds or more, once scores have settled.
+
+    Only edges of such patterns take part, and of them only instances that more than one pattern holds can pass a score on.
+    """
+    worth = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count("*").alias("n")).filter(F.col("seeds") >= min_seeds)
+    trusted = cut(worth.withColumn("confidence", F.col("seeds") / F.col("n")), "patterns")
+    linked = cut(edges.filter("not seed").join(trusted.select("pattern"), "pattern", "left_semi"), "linked")
+    while True:  # a confidence that moves rises by ``tolerance`` or more and none exceeds 1, so this ends
+        best = cut(linked.join(trusted, "pattern").groupBy("instance").agg(F.max("confidence").alias("best")), "instances")
+        gained = linked.join(best, "instance").groupBy("pattern").agg(F.sum("best").alias("gain"))
+        score = (F.col("seeds") + F.coalesce("gain", F.lit(0.0))) / F.col("n")
+        now = cut(trusted.join(gained, "pattern", "left").select("pattern", "seeds", "n", score.alias("confidence"), (score - F.col("confidence")).alias("rise")), "patterns")
+        trusted = now.drop("rise")
+        if now.filter(F.col("rise") > tolerance).isEmpty():
+            return trusted.select("pattern", "confidence")
 
 
 def span_texts(found: DataFrame) -> tuple[Column, Column]:

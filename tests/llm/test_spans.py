@@ -87,43 +87,47 @@ def test_mixed_tokens_of_few_owners_and_long_ones(spark):
     assert out == {i: t if 10 <= i < 15 else "key [SECRET] ok" for i, t, _ in rows}
 
 
-def brute_contexts(texts, rounds=3, min_seeds=3, min_confidence=0.5):
+def brute_contexts(texts, min_seeds=3, min_confidence=0.5, tolerance=0.01):
     """The contextual method, document by document, in plain Python: spans found by contexts."""
 
-    def context(text, start, last):
-        left = text[max(last, start - 80) : start]
-        m = re.search(r"(?:^|\s)(\S+\s+\S+)\s*$", left, re.A)
-        return re.sub(r"\s+", " ", m[1].lower(), flags=re.A) if m else ""
+    def around(t, own, i):  # of all matches of a kind, as far as three before the i-th
+        left = ("\n" if i <= 3 else "") + t[own[i - 4].end() if i > 3 else 0 : own[i].start()]
+        right = t[own[i].end() : own[i + 1].start() if i + 1 < len(own) else len(t)]
+        m, r = re.search(r"\s(\S+\s+\S+)\s*$", left, re.A), re.match(r"\s*(\S+)", right, re.A)
+        if not m:
+            return set()
+        two = re.sub(r"\s+", " ", m[1].lower(), flags=re.A)
+        return {two, f"{two.split(' ')[-1]} _ {r[1].lower()}"} if r else {two}
 
     edges, tokens = {}, []
     for i, t in enumerate(texts):
         taken = []
         for _, p, ok in PII:
-            last = 0
-            for m in re.finditer(p, t):
+            own = list(re.finditer(p, t))
+            for k, m in enumerate(own):
                 if ok(m[0]):
                     taken.append((m.start(), m.end()))
-                    if c := context(t, m.start(), last):
-                        edges[c, m[0]] = True
-                last = m.end()
-        last = 0
-        for m in re.finditer(r"(?<!\S)(?=\S*[0-9])\S{4,}", t, re.A):
+                    edges.update({(c, m[0]): True for c in around(t, own, k)})
+        own = list(re.finditer(r"(?<!\S)(?=\S*[0-9])\S{4,}", t, re.A))
+        for k, m in enumerate(own):
             if not any(a < m.end() and b > m.start() for a, b in taken):
-                c = context(t, m.start(), last)
-                tokens.append((i, m.start(), m.end(), c))
-                if c:
+                tokens.append((i, m.start(), m.end(), around(t, own, k)))
+                for c in around(t, own, k):
                     edges.setdefault((c, m[0]), False)
-            last = m.end()
-    score = {v: 0.0 for _, v in edges}
-    trusted = {}
-    for _ in range(rounds):
-        trusted = {}
-        for c in {c for c, _ in edges}:
-            own = [(v, s) for (p, v), s in edges.items() if p == c]
-            if sum(s for _, s in own) >= min_seeds:
-                trusted[c] = sum(1.0 if s else score[v] for v, s in own) / len(own)
-        score = {v: max([trusted[c] for c, w in edges if w == v and c in trusted], default=0.0) for v in score}
-    return {(i, a, b) for i, a, b, c in tokens if c and trusted.get(c, 0) >= min_confidence}
+    by = {}
+    for (c, v), s in edges.items():
+        by.setdefault(c, {})[v] = s
+    by = {c: own for c, own in by.items() if sum(own.values()) >= min_seeds}
+    conf, moved = {c: sum(own.values()) / len(own) for c, own in by.items()}, True
+    while moved:
+        best = {}
+        for c, own in by.items():
+            for v, s in own.items():
+                best[v] = max(best.get(v, 0), 0 if s else conf[c])
+        new = {c: sum(1 if s else best[v] for v, s in own.items()) / len(own) for c, own in by.items()}
+        moved = any(new[c] - conf[c] > tolerance for c in conf)
+        conf = new
+    return {(i, a, b) for i, a, b, cs in tokens if any(conf.get(c, 0) >= min_confidence for c in cs)}
 
 
 def test_contexts_equal_brute_force(spark):
@@ -135,3 +139,32 @@ def test_contexts_equal_brute_force(spark):
     got = {(x.doc_id, s.start, s.end) for x in pii.find_personal(df).collect() for s in x.found}
     want = brute_contexts(texts)
     assert got == want and want
+    assert len(want) > 20
+
+
+def test_contexts_of_a_planted_corpus(spark):
+    """2,000 documents: an account number stands where e-mail addresses and phones do, and a part number where they never do."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("aeioulnrst") for _ in range(r.randint(3, 8)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    texts, accounts = [], {}
+    for i in range(2000):
+        if i % 4 == 0:
+            body = f"reach me at {word()}{i}@ex.org for more"
+        elif i % 4 == 1:
+            body = f"reach me at +1 (319) 555-{1000 + i} for more"
+        elif i % 20 == 2:
+            body, accounts[i] = f"reach me at AC-{i}-{i % 7} for more", f"AC-{i}-{i % 7}"
+        else:
+            body = f"part number no. PN-{i} of {1900 + i % 100} in {i % 97}"
+        texts.append(f"{prose(r.randint(20, 60))} {body} {prose(r.randint(20, 60))}")
+    rows = list(enumerate(texts)) + [(3000 + k, texts[2]) for k in range(700)]
+    found = {x.doc_id: [s.value for s in x.found] for x in pii.find_personal(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: v for d, v in found.items() if v} == {d: [v] for d, v in accounts.items()} | {3000 + k: [accounts[2]] for k in range(700)}
+
+
+def test_contexts_reach_over_other_tokens(spark):
+    seen = [(i, f"the badge 20{i} at user{i}@ex.org today") for i in range(10, 16)]
+    df = spark.createDataFrame([*seen, (1, "a badge 2024 at ZX-1 today"), (2, "x" * 300 + " badge 2031 at " + "Z9" * 200 + " today")], "doc_id long, text string")
+    got = {x.doc_id: [s.value for s in x.found] for x in pii.find_personal(df).collect()}
+    assert got[1] == ["ZX-1"] and got[2] == ["Z9" * 200]
