@@ -76,8 +76,8 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodewatch.llm.secrets import KINDS, find_secrets, span_texts
 
-    base, spans = span_texts()
-    return find_secrets(_docs(spark, sf_dir)).select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+    base, spans, verdicts = span_texts()
+    return find_secrets(_docs(spark, sf_dir)).select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"), verdicts.alias("verdicts"))
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,16 +189,20 @@ matched as (
   union all select doc_id, owner, 3, 'mixed', regexp_extract_all(t, p), regexp_split_to_array(t, p), regexp_extract_all(t, p) from d, (select '[A-Za-z0-9+/_=-]+' as p)),
 wanted as (
   select doc_id, owner, k, kind, m, parts, v, unnest(list_filter(range(1, len(m) + 1), lambda i: case k when 0 then length(v[i]) >= 6 when 1 then length(v[i]) >= 20 when 2 then length(v[i]) >= 24
-    else length(v[i]) between 20 and 200 and regexp_matches(v[i], '[A-Z]') and regexp_matches(v[i], '[a-z]') and regexp_matches(v[i], '[0-9].*[0-9]') end)) as i from matched),
+    else length(v[i]) >= 20 and regexp_matches(v[i], '[A-Z]') and regexp_matches(v[i], '[a-z]') and regexp_matches(v[i], '[0-9].*[0-9]') end)) as i from matched),
 placed as (
   select doc_id, owner, k, kind, v[i] as value, length(m[i]) as n,
     (list_sum(list_transform(list_slice(parts, 1, i), lambda x: length(x))) + coalesce(list_sum(list_transform(list_slice(m, 1, i - 1), lambda x: length(x))), 0))::bigint as a from wanted),
 base as (select * from placed where k < 3),
 mixed as (select * from placed p where k = 3 and not exists (select 1 from base b where b.doc_id = p.doc_id and b.a < p.a + p.n and b.a + b.n > p.a)),
-owners as (select value, count(distinct owner) as owners from (select value, owner from base union all select value, owner from mixed) group by value),
-spans as (select doc_id, k, kind, a, kind || ':' || a || ':' || (a + n) as tag from base union all select doc_id, k, kind, a, kind || ':' || a || ':' || (a + n) from mixed join owners using (value) where owners = 1)
+each as (select doc_id, value, owner from base union all select doc_id, value, owner from mixed),
+owners as (select value, count(distinct owner) as owners, count(distinct owner) >= 5 or (count(distinct owner) >= 2 and count(distinct doc_id) >= 20) as example from each group by value),
+spans as (
+  select doc_id, k, a, kind || ':' || a || ':' || (a + n) as tag, case when example then 'example:' else 'live:' end || owners as verdict
+  from (select * from base union all select * from mixed) join owners using (value) where k < 3 or not example)
 select d.doc_id, count(*) filter (where k = 0) as n_assign, count(*) filter (where k = 1) as n_access, count(*) filter (where k = 2) as n_hex,
-  sha256(coalesce(string_agg(tag, ',' order by a, k) filter (where k < 3), '')) as base_sha256, coalesce(string_agg(tag, ',' order by a, k), '') as spans
+  sha256(coalesce(string_agg(tag, ',' order by a, k) filter (where k < 3), '')) as base_sha256, coalesce(string_agg(tag, ',' order by a, k), '') as spans,
+  coalesce(string_agg(verdict, ',' order by a, k), '') as verdicts
 from d left join spans using (doc_id) group by d.doc_id
 """
 

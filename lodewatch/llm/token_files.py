@@ -54,11 +54,12 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int | None = 1, sa
     return sample.coalesce(1).mapInArrow(train, "sha256 string, dictionary binary, width int")
 
 
-def write_token_files(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: int | None = 1, level: int = 1, block_bytes: int = 4 << 20, range_bytes: int = 128 << 20, id_col: str = "doc_id", text_col: str = "text") -> str:
+def write_token_files(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: int | None = 1, level: int = 1, block_bytes: int = 4 << 20, range_bytes: int = 32 << 20, max_ranges: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Encodes every whole text (null: empty), appends ``end_id`` and writes the files described above to ``path``.
 
-    Rows are dealt by ranges of id, as many as ``range_bytes`` of text need each, and sorted inside each range, so shards
-    follow one another in ascending order and a task stays of one size, however large the corpus.
+    Rows are dealt by ranges of id and sorted inside each range, so shards follow one another in ascending order. There
+    are as many ranges as ``range_bytes`` of text each ask for, so a task stays of one size however large the corpus;
+    beyond ``max_ranges`` they grow instead, since a shuffle's bookkeeping does too.
     Repeated ids each keep their frame, in the order of their texts' hashes; a null id comes first. No row is
     dropped; an empty table writes no block. Other columns are not looked at.
     """
@@ -99,7 +100,7 @@ def write_token_files(docs: DataFrame, path: str, *, tokenizer: str | None = Non
             yield flush()
 
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(-(-size // range_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    ranges = max(min(-(-size // range_bytes), max_ranges), spark.sparkContext.defaultParallelism)
     dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(ranges, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     dealt.mapInArrow(encode, schema).write.option("compression", "none").parquet(f"{path}/blocks")
     return path

@@ -55,7 +55,7 @@ def test_contexts_find_unseen_identifiers(spark, empty):
 def test_secret_base_spans(spark, odd, empty):
     texts = [noisy(s) for s in range(60)] + ["token=abcdef " * 1500, "f" * 5000]
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
-    base, spans = secrets.span_texts()
+    base, spans, _ = secrets.span_texts()
     got = {r.doc_id: r for r in secrets.find_secrets(df).select("doc_id", base.alias("b"), spans.alias("s")).collect()}
     for i, t in enumerate(texts):
         want = sorted((m.start(), n, f"{k}:{m.start()}:{m.end()}") for n, (k, p, ok) in enumerate(SECRETS) for m in re.finditer(p, t) if ok(m))
@@ -76,6 +76,44 @@ def test_examples_and_live_secrets(spark):
     assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
 
 
+def test_redacting_odd_rows(spark, odd, empty):
+    """Columns named as the operator's own, nulls, repeated rows, a text without an id."""
+    key = "token=mine123456"
+    more = spark.createDataFrame([(None, f"a {key}", "x", "o"), (70, f"b {key}", "x", None), (70, f"b {key}", "x", None), (71, None, "x", "o")], "doc_id long, text string, lang string, source string")
+    df = odd.unionByName(more, allowMissingColumns=True).selectExpr("*", "'q' as _d", "'q' as _t", "'q' as _spans", "'q' as spans", "'q' as row", "'q' as hash", "'q' as repo", "'q' as at")
+    out = secrets.redact(df)
+    assert out.columns == df.columns
+    want = sorted((str(r.doc_id), str(r.text).replace(key, "[SECRET]"), str(r.spans)) for r in df.collect())
+    assert sorted((str(r.doc_id), str(r.text), str(r.spans)) for r in out.collect()) == want
+    assert secrets.redact(empty).count() == 0 and secrets.redact(empty).columns == empty.columns
+
+
+def test_verdicts_of_a_planted_corpus(spark):
+    """1,200 documents of 40 owners in which examples are copied widely and live keys are not."""
+    r = random.Random(8)
+    live = {i: f"Live{i}abcXYZ{r.randint(10**9, 10**10)}" for i in range(30)}
+    rows = []
+    for i in range(1200):
+        parts = [f"text {i} goes on"]
+        if i % 3 == 0:
+            parts.append("password=changeme123")  # 40 owners
+        if i % 60 == 0:
+            parts.append("token=sharedtoken77")  # 2 owners, 20 documents
+        if i % 160 in (1, 2):
+            parts.append("token=teamtoken99")  # 2 owners of few documents
+        if i % 40 == 7:
+            parts.append(f"key {live[i // 40]} ok")
+        rows.append((i, " ".join(parts), f"o{i // 60 % 2}" if i % 60 == 0 else f"o{i % 2}" if i % 160 in (1, 2) else f"o{i % 40}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    verdicts = secrets.span_texts()[2]
+    got = {x.doc_id: x.v for x in secrets.find_secrets(df).select("doc_id", verdicts.alias("v")).collect()}
+    for i, t, _ in rows:
+        want = [("example" if w in ("changeme123", "sharedtoken77") else "live") for w in re.findall(r"changeme123|sharedtoken77|teamtoken99|Live\w+", t)]
+        assert [x.split(":")[0] for x in filter(None, got[i].split(","))] == want
+    out = {x.doc_id: x.text for x in secrets.redact(df).collect()}
+    assert "changeme123" in out[3] and "teamtoken99" not in out[1] and "Live0" not in out[7]
+
+
 def test_mixed_tokens_of_few_owners_and_long_ones(spark):
     shared, example, long = "Zm9vYmFyMTIzNDU2Nzg5Cg77", "Ym9vYmFyMTIzNDU2Nzg5Cg88", "aB3d" * 500
     rows = [(i, f"key {shared} ok", f"owner{i}") for i in range(4)] + [(10 + i, f"key {example} ok", f"owner{i}") for i in range(5)] + [(20, f"key {long} ok", "owner0")]
