@@ -70,7 +70,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodewatch.llm.quality_rules import line_quality
 
-    return line_quality(_docs(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return line_quality(_docs(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_line_words", "base_failed", "kept")
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +144,9 @@ with w as (select doc_id, "source" as host, coalesce("text", '') as t, regexp_ex
 lines as (select doc_id, host, t, unnest(string_split(t, chr(10))) as line from w),
 keys as (
   select doc_id, host, t, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))::bigint as n, trim(lower(regexp_replace(line, '[ \x09-\x0D]+', ' ', 'g'))) as k from lines),
-frequent as (select host, k from keys where k <> '' group by host, k having count(distinct t) > 100),
+hosts as (select "source" as host, count(*) as documents from (select distinct doc_id, "source", coalesce("text", '') as t from documents) group by "source"),
+often as (select host, k, count(distinct doc_id) as docs from keys where k <> '' group by host, k having count(distinct doc_id) > 5),
+frequent as (select often.host, k from often join hosts on often.host is not distinct from hosts.host where docs > 0.1 * documents),
 lost as (select keys.doc_id, sum(n)::bigint as n from keys join frequent on keys.k = frequent.k and keys.host is not distinct from frequent.host group by keys.doc_id),
 dup as (select doc_id, (count(*) - count(distinct line))::bigint as n from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
 windows as (select doc_id, i, list_slice(w, i, i + 2) as g from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from w where len(w) > 3)),
@@ -155,7 +157,7 @@ base as (
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(dup.n, 0)::bigint as n_dup_lines,
     coalesce(covered.n, 0)::bigint as n_repeat_words, coalesce(lost.n, 0) as lost
   from w left join dup using (doc_id) left join covered using (doc_id) left join lost using (doc_id))
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost::bigint as n_line_words,
   n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
   not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and not (n_words - lost < 0.3 * n_words) as kept
 from base

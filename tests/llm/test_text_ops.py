@@ -44,7 +44,7 @@ def test_boilerplate_lines_and_depleted_documents(spark):
     rows = [(i, f"Cookie  NOTICE {'we use ' * 10}\n{body(i)}", "h") for i in range(5)]
     rows += [(9, f"cookie notice {'we use ' * 10}" + "\nfew words " + " ".join(f"z{j}" for j in range(3)), "h"), (10, f"Cookie notice {'we use ' * 10}\n{body(10)}", "other")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    judged = quality_rules.line_quality(df, max_docs=4, min_words=5, max_repeat=1.0)
+    judged = quality_rules.line_quality(df, min_docs=4, min_words=5, max_repeat=1.0)
     got = {r.doc_id: r for r in judged.collect()}
     assert got[0].kept and got[0].boilerplate == [0] and got[0].n_line_words == 22
     assert not got[9].kept and got[10].boilerplate is None and got[10].kept
@@ -55,12 +55,56 @@ def test_boilerplate_of_small_hosts(spark):
     body = lambda h, i: "\n".join(" ".join(f"{h}{i}x{k}y{j}" for j in range(10)) for k in range(6))
     rows = [(100 * n + i, f"All about us\n{body(h, i)}" + ("\nsome have this" if i < 6 else ""), h) for n, (h, size) in enumerate([("a", 40), (None, 10), ("c", 5)]) for i in range(size)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r.doc_id: r.boilerplate for r in quality_rules.line_quality(df).collect()}
+    got = {r.doc_id: r.boilerplate for r in quality_rules.line_quality(df, max_share=0.3).collect()}
     for d, _, h in rows:
         few = h is None and d % 100 < 6
         assert got[d] == (None if h == "c" else [0, 7] if few else [0])
 
 
+def test_line_counts_of_a_planted_corpus(spark, odd, empty):
+    """1,500 documents of six hosts: banners, a page copied under many ids, and a line that one document repeats."""
+    r = random.Random(4)
+    line = lambda i: " ".join(f"w{r.randint(0, 9999)}" for _ in range(12))
+    rows = []
+    for i in range(1500):
+        host = ["hot", "hot", "hot", "a", "b", None][i % 6]
+        parts = [line(i) for _ in range(r.randint(1, 6))]
+        if i % 4 == 0:
+            parts.insert(0, f"Welcome to  {host} " + "our shop " * 20)
+        if i % 30 == 1:
+            parts += ["same here " * 3] * 9
+        if i % 5 == 2 and host == "hot":
+            parts = ["copied page " * 40]
+        rows.append((i, "\n".join(parts), host))
+    rows += [rows[0]] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    judged = quality_rules.line_quality(df, max_repeat=1.0)
+    norm = lambda x: " ".join(x.lower().split())
+    docs, size = {}, Counter(h for _, _, h in set(rows))
+    for d, t, h in set(rows):
+        for k in {norm(x) for x in t.split("\n")} - {""}:
+            docs.setdefault((h, k), set()).add(d)
+    bad = {k for k, v in docs.items() if len(v) > 5 and len(v) > 0.1 * size[k[0]]}
+    want = sorted((d, [n for n, x in enumerate(t.split("\n")) if (h, norm(x)) in bad]) for d, t, h in rows)
+    got = judged.collect()
+    assert sorted((x.doc_id, x.boilerplate or []) for x in got) == want and sum(bool(p) for _, p in want) > 300
+    for x in got:
+        lost = sum(len(x.text.split("\n")[n].split()) for n in x.boilerplate or [])
+        assert x.n_line_words == lost and x.kept == (not x.base_failed and len(x.text.split()) - lost >= 0.3 * len(x.text.split()))
+    assert sum(not x.kept and not x.base_failed for x in got) > 0
+    cleaned = quality_rules.clean_text(judged).collect()
+    assert len(cleaned) == sum(x.kept for x in got) and not any(("welcome" in x.text.lower()) for x in cleaned)
+    assert quality_rules.clean_text(quality_rules.line_quality(odd, min_words=0)).count() == quality_rules.line_quality(odd, min_words=0).filter("kept").count()
+    assert quality_rules.clean_text(quality_rules.line_quality(empty)).count() == 0
+
+
+def test_repeats_in_very_long_texts(spark):
+    r = random.Random(2)
+    words = [f"v{r.randint(0, 60000)}" for _ in range(70000)] + [f"v{i}" for i in range(10)] * 2
+    df = spark.createDataFrame([(1, " ".join(words), "h")], "doc_id long, text string, source string")
+    assert quality_rules.line_quality(df).first().n_repeat_words == repeat_words(words)
+
+
 def brute_hits(text, items, window=10):
     w, hit, which = decontam.words_of(text), set(), set()
     for item, t in items:
