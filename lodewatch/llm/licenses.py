@@ -81,6 +81,11 @@ def normalised(sentence: Column) -> Column:
     return F.when(plain.rlike(r"apache license"), plain).otherwise(F.regexp_replace(plain, _VERSION, "<n>"))
 
 
+def known_sentences(sentences: list[tuple[str, str]]) -> dict[str, str]:
+    """Known sentences as given and as normalisation leaves them, each with its identifier."""
+    return {text: name for name, text in sentences} | {re.sub(_VERSION, "<n>", text): name for name, text in sentences if "apache license" not in text}
+
+
 def _worth(sentences: list[tuple[str, str]]) -> str:
     """A pattern that every text with a known sentence matches: the common words, and the longest word of each sentence that has none of them."""
     more = {max(re.findall("[a-z0-9]+", text), key=len) for _, text in sentences if not re.search(_WORTH, text)}
@@ -96,9 +101,7 @@ def scan_licenses(docs: DataFrame, *, sentences: list[tuple[str, str]] | None =
     """
     sentences, rules = sentences or SENTENCES, rules or RULES
     rows = id_text(docs, id_col, text_col)
-    # Known sentences as given and as normalisation leaves them.
-    names = {text: name for name, text in sentences} | {re.sub(_VERSION, "<n>", text): name for name, text in sentences if "apache license" not in text}
-    known = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+    known = F.create_map(*(F.lit(x) for pair in known_sentences(sentences).items() for x in pair))
     worth = _worth(sentences)
 
     def identified(part: Column, cuts: tuple[str, ...]) -> Column:

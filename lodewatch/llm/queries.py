@@ -210,9 +210,12 @@ from d left join spans using (doc_id) group by d.doc_id
 
 
 def _op3_sql() -> str:
-    from lodewatch.llm.licenses import RULES, SENTENCES
+    from lodewatch.llm.licenses import RULES, SENTENCES, known_sentences
 
-    known = ", ".join(f"('{name}', '{text}')" for name, text in SENTENCES)
+    known = ", ".join(f"('{name}', '{text}')" for text, name in known_sentences(SENTENCES).items())
+    plain = r"trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(replace(lower(s), '~', ' '), '([0-9])[.]([0-9])', '\1~\2', 'g'), '([0-9])[.]([0-9])', '\1~\2', 'g'), '[^a-z0-9~]+', ' ', 'g'), '~', '.'), '\s+', ' ', 'g'))"
+    named = lambda source: rf"(select *, case when contains(p, 'apache license') then p else regexp_replace(regexp_replace(p, 'version [0-9]+([.][0-9]+)*', 'version <n>', 'g'), '(^|[^a-z0-9])[0-9]+([.][0-9]+)*$', '\1<n>') end as sentence from (select *, {plain} as p from {source})) left join known using (sentence)"
+    parts = lambda text, pattern, at: f"unnest(regexp_split_to_array({text}, '{pattern}')) as s, generate_subscripts(regexp_split_to_array({text}, '{pattern}'), 1) as {at}"
     steps, names, kinds, counts = ["s0 as (select doc_id, sentence_ids, seq as q0 from seqs)"], [], [], []
     for i, (name, ids, kind) in enumerate(RULES):
         mark = "".join(f";{x};" for x in ids)
@@ -224,11 +227,17 @@ def _op3_sql() -> str:
     once = lambda cases: f"array_to_string(list_reduce([[]] || list_transform(list_filter([{', '.join(cases)}], lambda x: x is not null), lambda x: [x]), lambda a, b: case when list_contains(a, b[1]) then a else a || b end), ',')"
     return rf"""
 with known(name, sentence) as (values {known}),
-cut as (select doc_id, unnest(regexp_split_to_array(coalesce("text", ''), '[.!?;]+\s+|\n+|[.!?;]+$')) as s, generate_subscripts(regexp_split_to_array(coalesce("text", ''), '[.!?;]+\s+|\n+|[.!?;]+$'), 1) as pos from documents),
-worth as (select * from cut where regexp_matches(s, '(?i)licen[sc]e|permission|redistribut|public domain|free software|cc0|as is|rights reserved|liable')),
-plain as (select doc_id, pos, trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(lower(s), '([0-9])[.]([0-9])', '\1~\2', 'g'), '([0-9])[.]([0-9])', '\1~\2', 'g'), '[^a-z0-9~]+', ' ', 'g'), '~', '.'), '\s+', ' ', 'g')) as p from worth),
-normal as (select doc_id, pos, case when contains(p, 'apache license') then p else regexp_replace(regexp_replace(p, 'version [0-9]+([.][0-9]+)*', 'version <n>', 'g'), '(^|[^a-z0-9])[0-9]+([.][0-9]+)*$', '\1<n>') end as sentence from plain),
-ids as (select doc_id, string_agg(name, ',' order by pos) as sentence_ids, string_agg(';' || name || ';', '' order by pos) as seq from normal join known using (sentence) group by doc_id),
+bare as (select doc_id, regexp_replace(coalesce("text", ''), '(?m)^[ \t]*(?:<!--+|/?\*+/?|//+|#+|;+|--+|%+)[ \t]*|[ \t]*(?:\*+/?|--+>)[ \t\r]*$', '', 'g') as t from documents),
+urls as (select doc_id, regexp_replace(regexp_replace(t, ':[ \t\r]*\n(\s*https?://)', ' \1', 'g'), '\n[ \t\r]*\n(\s*https?://)', ' \1', 'g') as t from bare),
+cut0 as (select doc_id, 0 as b, 0 as c, {parts("t", r"[.!?]+\s+|[.!?]+$|:[ \t\r]*\n|\n[ \t\r]*\n", "a")} from urls),
+name0 as (select doc_id, a, b, c, s, name from {named("cut0")}),
+cut1 as (select doc_id, a, 0 as c, {parts("s", r";+\s+", "b")} from name0 where name is null),
+name1 as (select doc_id, a, b, c, s, name from {named("cut1")}),
+cut2 as (select doc_id, a, b, {parts("s", r"\n+", "c")} from name1 where name is null),
+name2 as (select doc_id, a, b, c, s, name from {named("cut2")}),
+ids as (
+  select doc_id, string_agg(name, ',' order by a, b, c) as sentence_ids, string_agg(';' || name || ';', '' order by a, b, c) as seq
+  from (select * from name0 union all select * from name1 union all select * from name2) where name is not null group by doc_id),
 seqs as (select doc_id, coalesce(sentence_ids, '') as sentence_ids, coalesce(seq, '') as seq from documents left join ids using (doc_id)),
 {', '.join(steps)}
 select doc_id, sentence_ids, {once(names)} as licenses, {once(kinds)} as classes, ({' + '.join(counts)})::bigint as n_matched,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lodewatch.llm import licenses, neardup, quality_model
+from texts import APACHE, BSD, GPL, MIT
 
 SF = "/root/testdata/sf0.001"
 
@@ -118,53 +119,7 @@ def test_licenses(spark, odd, empty):
 
 
 def test_wrapped_licenses(spark):
-    mit = """MIT License
-
-Copyright (c) 2020 A. Body
-
-Permission is hereby granted, free of charge, to any person obtaining a copy
-of this software and associated documentation files (the "Software"), to deal
-in the Software without restriction, including without limitation the rights
-to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
-copies of the Software, and to permit persons to whom the Software is
-furnished to do so, subject to the following conditions:
-
-The above copyright notice and this permission notice shall be included in all
-copies or substantial portions of the Software.
-
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
-IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
-FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
-AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
-LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
-OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
-SOFTWARE.
-"""
-    apache = """Licensed under the Apache License, Version 2.0 (the "License");
-you may not use this file except in compliance
-with the License.
-You may obtain a copy of the License at
-
-    http://www.apache.org/licenses/LICENSE-2.0
-
-Unless required by applicable law or agreed to in writing, software
-distributed under the License is distributed on an "AS IS" BASIS,
-WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
-See the License for the specific language.
-"""
-    gpl = """This program is free software; you can redistribute it and/or modify
-it under the terms of the GNU General Public License as published by
-the Free Software Foundation; either version 2 of the License, or
-(at your option) any later version.
-
-This program is distributed in the hope that it will be useful,
-but WITHOUT ANY WARRANTY; without even the implied warranty of
-MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
-"""
-    bsd = """Redistribution and use in source and binary forms, with or without
-modification, are permitted provided that the following conditions are met:
-1. Redistributions of source code must retain the above copyright notice.
-"""
+    mit, apache, gpl, bsd = MIT, APACHE, GPL, BSD
     want = [("MIT", ["MITtitle", "MITgrant", "MITnotice", "NoWarranty", "NoLiability"], mit), ("Apache-2.0", ["Apache2ref", "Apache2not", "Apache2get", "Apache2asis"], apache), ("GPL", ["GPLfree", "GPLhope"], gpl), ("BSD", ["BSDredist"], bsd)]
     marked = lambda text, first, each, last: first + "".join(f"{each}{x}".rstrip() + "\n" for x in text.splitlines()) + last
     forms = [lambda x: x, lambda x: marked(x, "/*\n", " * ", " */\nint main;"), lambda x: marked(x, "", "// ", "\nint x;"), lambda x: marked(x, "#!/bin/sh\n#\n", "# ", "x = 1")]
