@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE = {"companies": ["supplier"], "page_docs": ["part"], "monitored_links": ["pages"], "report_library": ["lineitem"], "page_links": ["monitored_links", "page_docs"], "seen_before": ["page_links"], "fetch_log": ["events"], "attach_rows": ["report_library", "page_docs"], "html_pages": ["page_docs"], "urls": ["pages", "page_docs"], "visits": ["events"], "page_candidates": ["page_docs"]}
+BASE = {"companies": ["supplier"], "page_docs": ["part"], "monitored_links": ["pages"], "report_library": ["lineitem"], "page_links": ["monitored_links", "page_docs"], "seen_before": ["page_links"], "fetch_log": ["events"], "attach_rows": ["report_library", "page_docs"], "html_pages": ["page_docs"], "urls": ["pages", "page_docs"], "visits": ["events"], "visited_pages": ["monitored_links"], "page_candidates": ["page_docs"]}
 VIEWS = {
     "companies": """select 'recC' || cast(s_suppkey as string) as rec_id, 'PT_' || lpad(cast(s_suppkey as string), 5, '0') as wba_id, s_name as company_name, case when s_nationkey % 5 = 0 then null else 'usr' || cast(s_nationkey % 7 as string) end as analyst from supplier""",
     "page_docs": """select p_partkey as doc_key, p_partkey % 250 as page_id, 'https://' || case p_partkey % 4 when 0 then 'www.Site' || cast(p_partkey % 13 as string) || '.example.com' when 1 then 'cdn.assets.example.net' when 2 then 'static.cdp.net' else 'docs.example.org' end || '/files/' || case p_partkey % 9 when 0 then 'annual-report-' when 1 then 'Human-Rights-Policy-' when 2 then 'iso-14001-certificate-' when 3 then 'gri-content-index-' when 4 then 'sustainability_report_' when 5 then 'brochure-' when 6 then 'climate-change-' when 7 then 'code-of-conduct-' else 'static-files/' end || cast(2008 + p_size % 22 as string) || case when p_partkey % 9 = 8 then '' when p_partkey % 6 = 5 then '.html' else '.pdf' end || case when p_partkey % 7 = 0 then '?utm_source=feed&b=2&a=1' else '' end as document_url from part""",
     "monitored_links": """select p.page_id as page_id, 'recL' || cast(p.page_id as string) as rec_id, 'PT_' || lpad(cast(p.page_id % 12 as string), 5, '0') as wba_id, p.url as url, case p.page_id % 7 when 0 then 'homepage' when 1 then 'reports_hub' when 2 then 'sustainability_page' when 3 then 'investor_relations' when 4 then 'policies' when 5 then 'news' else 'other' end as type, p.page_id % 5 <> 0 as monitor, case p.page_id % 7 when 0 then 'daily' when 1 then 'mon_wed_fri' when 2 then 'mon_fri' when 3 then 'weekly' when 4 then 'monthly' when 5 then 'quarterly' else '' end as frequency, case p.page_id % 11 when 0 then 'dead' when 1 then 'error' when 2 then 'redirected' else 'ok' end as status, p.page_id % 8 = 3 as needs_browser, case when p.page_id % 9 = 0 then null else cast(cast('2024-01-01' as date) + cast(p.page_id % 30 as int) as string) end as last_checked, regexp_extract(p.html, '<html lang="([a-z]+)"', 1) as lang_code from pages p""",
     "report_library": """select 'recR' || cast(l_orderkey as string) || '_' || cast(l_linenumber as string) || '_' || cast(l_partkey as string) || '_' || cast(l_suppkey as string) || '_' || cast(cast(l_quantity as int) as string) || '_' || cast(cast(l_shipdate as date) as string) as rec_id, 'PT_' || lpad(cast(l_suppkey as string), 5, '0') as wba_id, l_partkey as doc_key, case l_linenumber when 1 then 'Sustainability Report' when 2 then 'Annual Report' when 3 then 'UNKNOWN' when 4 then 'Code of Conduct' else null end as source_type_check, case l_partkey % 4 when 0 then 'ESG Report' when 1 then 'Human Rights Policy' when 2 then ' ' else null end as source_type, case when l_partkey % 10 = 0 then null else year(l_shipdate) + 20 end as year, l_linestatus = 'F' as has_file, l_returnflag = 'R' as discard from lineitem""",
-    "page_links": """select m.rec_id, m.wba_id, m.type, m.monitor, m.url as page_url, d.doc_key, d.document_url from monitored_links m join page_docs d on d.page_id = m.page_id % 250 union all select m.rec_id, m.wba_id, m.type, m.monitor, m.url as page_url, d.doc_key, d.document_url from monitored_links m cross join page_docs d where d.doc_key % 500 = 7 and m.page_id % 3 = 0 and d.page_id <> m.page_id % 250""",
-    "seen_before": """select rec_id, wba_id, document_url from page_links where doc_key % 3 <> 0 and cast(substring(rec_id, 5) as bigint) % 10 <> 4""",
+    "page_links": """select m.rec_id, m.wba_id, m.type, m.monitor, m.url as page_url, d.doc_key, d.document_url, case when d.doc_key % 5 = 0 then ' ' else ' Report ' || cast(d.doc_key as string) || case when d.doc_key % 11 = 0 then repeat(' and more', 12) else '' end end as title from monitored_links m join page_docs d on d.page_id = m.page_id % 250 where m.page_id % 40 <> 9 union all select m.rec_id, m.wba_id, m.type, m.monitor, m.url as page_url, d.doc_key, d.document_url, 'Shared' as title from (select *, case when page_id % 3 = 0 and page_id % 40 <> 9 then 7 end as shared from monitored_links) m join (select *, doc_key % 500 as shared from page_docs) d on d.shared = m.shared where d.page_id <> m.page_id % 250""",
+    "seen_before": """select rec_id, wba_id, document_url from page_links where doc_key % 3 <> 0 and cast(substring(rec_id, 5) as bigint) % 10 not in (4, 6)""",
+    "visited_pages": """select rec_id, wba_id, 'Company ' || wba_id as company_name, url, type, case page_id % 10 when 4 then null when 6 then 'd41d8cd98f00b204e9800998ecf8427e' else 'hash' || cast(page_id as string) end as content_hash, case when page_id % 4 = 1 then '2024-01-15: ex.org/old' else null end as new_links from monitored_links""",
     "fetch_log": """select e.event_id as fetch_id, e.user_id as page_id, e.ts as fetched_at, case e.event_type when 'error' then null when 'signup' then 404 else 200 end as http_status, e.event_type = 'click' as redirected, case when e.event_type = 'error' then 'timeout' else null end as error_kind, cast(floor(e.value) as bigint) % 5 as doc_set from events e""",
     "attach_rows": """select r.rec_id, r.wba_id, d.document_url, r.has_file, case when r.doc_key % 7 = 0 then 'gone' else null end as file_status, r.source_type, cast(r.year as string) as doc_year, case r.doc_key % 6 when 0 then 'ok' when 1 then 'parse_fail' when 2 then 'truncated' else null end as cover_status, case when r.doc_key % 4 = 1 then 'high' else null end as match_confidence from report_library r join page_docs d on d.doc_key = r.doc_key""",
     "html_pages": """select doc_key as page_id, 'https://docs.example.org/hub/p' || cast(doc_key as string) as url, '<html lang="' || case doc_key % 4 when 0 then 'en' when 1 then 'de-DE' when 2 then 'zh-CN' else '' end || '"><body><script>x</script><a href="' || document_url || '">Report ' || cast(doc_key as string) || '</a> <a href="/about/team">Team</a><!-- no --><a href="/login">Log in</a>' || case when doc_key % 3 = 0 then ' please download our pdf' else '' end || '</body></html>' as html from page_docs""",

@@ -104,9 +104,10 @@ def effective_type(checked: Column, keyword: Column) -> Column:
     return F.coalesce(blank_to_null(checked), blank_to_null(keyword), F.lit(""))
 
 
-def norm_value(text: Column) -> Column:
-    """A value in the form in which it is compared: trimmed, blank as NULL."""
-    return blank_to_null(text.cast("string"))
+def norm_value(value: Column) -> Column:
+    """A value in the form in which it is compared: text trimmed and blank as NULL, a whole floating-point number without its point."""
+    text = blank_to_null(value.cast("string"))
+    return F.when(F.typeof(value).isin("double", "float"), F.when(value == F.floor(value), F.format_string("%.0f", value.cast("double"))).otherwise(text)).otherwise(text)
 
 
 def is_due(frequency: Column, run_date: Column, force: bool = False) -> Column:

@@ -3,36 +3,13 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A core vocabulary. A deployment passes its own file ({type: [term, ...]}) to ``vocabulary``.
-CORE = {
-    "Registration Document": ["registration document", "universal registration document", "prospectus"],
-    "Human Rights Policy": ["human rights", "human rights policy", "human rights statement", "modern slavery"],
-    "Certifications": ["certificate", "certification", "iso", "iso 14001", "iso 27001", "iso 45001", "iso 9001"],
-    "Company Presentations": ["investor presentation", "results presentation", "roadshow"],
-    "Statutory Documents": ["corporate governance", "gender pay gap", "proxy statement", "remuneration"],
-    "Interim Reports": ["interim report", "quarterly report", "first half", "trading update"],
-    "Code of Conduct": ["code of conduct", "code of ethics", "business conduct", "conduct", "ethics"],
-    "Engagement Report": ["engagement report", "stewardship report", "proxy voting"],
-    "Policy Documents": ["policy", "policies", "tax policy", "privacy policy", "statement"],
-    "Climate Report": ["climate", "climate change", "climate report", "net zero", "tcfd"],
-    "GRI": ["gri", "gri index", "gri content index", "content index"],
-    "ESG Report": ["esg", "esg report", "esg data"],
-    "Financial Statement": ["financial statements", "annual report", "balance sheet", "accounts"],
-    "Environmental Reports": ["environmental", "environment", "assurance statement"],
-    "10K Form": ["form 10k", "10k form", "annual report"],
-    "CSR Report": ["csr", "csr report", "corporate social responsibility"],
-    "CDP Report": ["cdp", "cdp report", "climate change questionnaire"],
-    "Impact Report": ["impact report", "impact"],
-    "SASB Index": ["sasb", "sasb index"],
-    "Annual Report": ["annual", "annual report", "annual financial report"],
-    "Social Reports": ["diversity", "human rights report"],
-    "Integrated Report": ["integrated report", "annual integrated report"],
-    "Sustainability Report": ["sustainability report", "esg report", "citizenship"],
-}
+#: The document types and their terms, complete and in their order. A deployment may pass a file of its own.
+CORE = json.loads((Path(__file__).parent / "vocabulary.json").read_text(encoding="utf-8"))
 
 
 def rows(terms: dict[str, list[str]]) -> list[tuple[int, str, str, int]]:

@@ -85,10 +85,21 @@ def cover_outcome(content: Column, declared_size: Column, parsed: Column, text:
     )
 
 
-def diagnose_verdict(content: Column, declared_size: Column, text: Column, reader_failed: Column, url: Column) -> Column:
-    """A wordier verdict for one file: no_url, dl_err, not_pdf, truncated, reader_fail, text_ok_len_fail or ok."""
-    state = cover_outcome(content, declared_size, F.lit(True), text)
-    return F.when(F.coalesce(F.trim(url), F.lit("")) == "", "no_url").when(state == "download_fail", "dl_err").when(state.isin("not_pdf", "truncated"), state).when(F.coalesce(reader_failed, F.lit(False)) & (F.coalesce(F.trim(text), F.lit("")) != ""), "text_ok_len_fail").when(F.coalesce(reader_failed, F.lit(False)), "reader_fail").otherwise(state)
+def diagnose_verdict(url: Column, content: Column, opened: Column, text_chars: Column, page_count: Column) -> Column:
+    """A wordier verdict for one file: no_url, dl_err, not_pdf, reader_fail, text_ok_len_fail, no_text, parse_fail or ok.
+
+    The two probes of a file that opened are apart: ``text_chars`` of its first page and ``page_count``, each NULL if
+    its probe failed. A file cut short gets the verdict of its probes.
+    """
+    some = F.coalesce(text_chars, F.lit(0)) > 0
+    probes = F.when(some & page_count.isNull(), "text_ok_len_fail").when(some, "ok").when(page_count.isNotNull(), "no_text").otherwise("parse_fail")
+    return (
+        F.when(F.coalesce(F.trim(url), F.lit("")) == "", "no_url")
+        .when(content.isNull(), "dl_err")
+        .when(F.hex(F.substring(content, 1, 4)) != "25504446", "not_pdf")
+        .when(~F.coalesce(opened, F.lit(False)), "reader_fail")
+        .otherwise(probes)
+    )
 
 
 def outcome_histogram(rows: DataFrame, by: str = "outcome") -> DataFrame:

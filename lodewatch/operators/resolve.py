@@ -37,17 +37,28 @@ def link_documents_missing(docs: DataFrame, pages: DataFrame) -> DataFrame:
     return docs.filter("source_link_id is not null").join(pages.select(F.col("link_id").alias("source_link_id")), "source_link_id", "left_anti").agg(F.count("*").alias("missing"))
 
 
+def _analysts(companies: DataFrame) -> DataFrame:
+    """wba_id (trimmed), _want: one row an entity; the analyst of its last record."""
+    rows = companies.select(U.blank_to_null(F.col("wba_id")).alias("wba_id"), "rec_id", "analyst").filter("wba_id is not null")
+    return rows.groupBy("wba_id").agg(F.max_by("analyst", "rec_id").alias("_want"))
+
+
 def reconcile_analyst(rows: DataFrame, companies: DataFrame, *, changes_only: bool = True) -> DataFrame:
-    """rec_id, outcome, analyst (wanted): set, fixed or cleared where row and company differ; ok only if asked for."""
-    own = companies.select("wba_id", F.col("analyst").alias("_want"))
+    """rec_id, outcome, analyst (wanted): set, fixed or cleared where row and company differ; ok only if asked for.
+
+    Ids are compared without blanks around them; rows with none, or with one no company has, are left alone.
+    """
     have, want = F.col("analyst"), F.col("_want")
     outcome = F.when(have.eqNullSafe(want), "ok").when(want.isNull(), "cleared").when(have.isNull(), "set").otherwise("fixed")
-    joined = rows.join(maybe_broadcast(own), "wba_id").select("rec_id", outcome.alias("outcome"), want.alias("analyst"))
+    own = rows.select("rec_id", "analyst", U.blank_to_null(F.col("wba_id")).alias("wba_id"))
+    joined = own.join(maybe_broadcast(_analysts(companies)), "wba_id").select("rec_id", outcome.alias("outcome"), want.alias("analyst"))
     return joined.filter("outcome <> 'ok'") if changes_only else joined
 
 
 def reconcile_stats(rows: DataFrame, companies: DataFrame) -> DataFrame:
-    return reconcile_analyst(rows, companies, changes_only=False).groupBy("outcome").agg(F.count("*").alias("n"))
+    """outcome, n: rows by outcome, and under ``orphans`` the distinct entities that no company has."""
+    counts = reconcile_analyst(rows, companies, changes_only=False).groupBy("outcome").agg(F.count("*").alias("n"))
+    return counts.unionByName(link_companies_orphans(rows, companies).agg(F.lit("orphans").alias("outcome"), F.count("*").alias("n")))
 
 
 def shared_pages(pages: DataFrame, at_least: int = 3) -> DataFrame:
@@ -80,10 +91,13 @@ def logo_missing(companies: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def homepage_pick(pages: DataFrame) -> DataFrame:
-    """wba_id, homepage: the last homepage row's URL, else https:// and the most frequent domain."""
-    home = pages.filter("type = 'homepage' and url is not null and wba_id is not null").groupBy("wba_id").agg(F.max_by("url", "rec_id").alias("_url"))
+    """wba_id, name, homepage of the entities that have a name: their last one, and the last homepage row's URL, else https:// and the most frequent domain."""
+    url, name = U.blank_to_null(F.col("url")), U.blank_to_null(F.col("company_name"))
+    home = F.when((F.col("type") == "homepage") & url.isNotNull(), F.col("rec_id"))
+    rows = pages.select(U.blank_to_null(F.col("wba_id")).alias("wba_id"), url.alias("url"), name.alias("name"), home.alias("home"), "rec_id").filter("wba_id is not null")
+    known = rows.groupBy("wba_id").agg(F.max_by("name", F.when(F.col("name").isNotNull(), F.col("rec_id"))).alias("name"), F.max_by("url", "home").alias("_url")).filter("name is not null")
     votes = domain_vote(pages.withColumn("type", F.lit("")))
-    return votes.join(home, "wba_id", "full_outer").select("wba_id", F.coalesce("_url", F.concat(F.lit("https://"), "domain")).alias("homepage"))
+    return known.join(votes, "wba_id", "left").select("wba_id", "name", F.coalesce("_url", F.concat(F.lit("https://"), "domain")).alias("homepage"))
 
 
 def ids_todo(pages: DataFrame, force: bool = False) -> DataFrame:

@@ -48,15 +48,19 @@ def _add(name: str, build: Callable[[Tables], DataFrame], sql: str | None = None
 
 
 def _folder(t: Tables) -> str:
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/lodewatch-{uuid.uuid4().hex[:12]}"
+    """A new path in the folder that driver and executors share; a temporary one only where both are one machine."""
+    base = t.spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not t.spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{(base or tempfile.gettempdir()).rstrip('/')}/lodewatch-{uuid.uuid4().hex[:12]}"
 
 
 # Sources and sinks ---------------------------------------------------------------------------------------------------
 _add("scan_all", lambda t: tables.scan_all(t.spark, f"{t.sf_dir}/part.parquet"), "select * from part")
 _add("scan_project", lambda t: tables.scan_project(t.spark, f"{t.sf_dir}/lineitem.parquet", ["l_orderkey", "l_returnflag"]), "select l_orderkey, l_returnflag from lineitem")
 _add("scan_filter", lambda t: tables.scan_filter(t.spark, f"{t.sf_dir}/part.parquet", "p_size > 40 and p_brand is not null").select("p_partkey", "p_size"), "select p_partkey, p_size from part where p_size > 40 and p_brand is not null")
-_add("scan_vocab", lambda t: V.vocabulary(t.spark), "select * from (values " + ", ".join(f"({i}::int, '{k}', '{w}', {n}::int)" for i, k, w, n in V.rows(V.CORE)) + ") v(type_ord, type, term, n_words)")
+_TERMS = ", ".join("({}::int, '{}', '{}', {}::int)".format(i, k, w.replace("'", "''"), n) for i, k, w, n in V.rows(V.CORE))
+_add("scan_vocab", lambda t: V.vocabulary(t.spark), f"select * from (values {_TERMS}) v(type_ord, type, term, n_words)")
 
 
 def _csv(t: Tables) -> DataFrame:
@@ -89,6 +93,24 @@ def _insert(t: Tables) -> DataFrame:
 _add("sink_insert", _insert, "select * from companies", "companies")
 _add("sink_attach", lambda t: tables.attach_plan(t.page_docs.select(F.col("doc_key").cast("string").alias("rec_id"), "document_url", F.lit("PT-1").alias("library_id"))), "select cast(doc_key as varchar) as rec_id, document_url as url, case when regexp_extract(p, '([^/]*)$', 1) not like '%.%' then 'PT-1.pdf' when lower(p) like '%.pdf' then regexp_extract(p, '([^/]*)$', 1) else regexp_extract(p, '([^/]*)$', 1) || '.pdf' end as filename from (select *, " + S.path("document_url") + " as p from page_docs)", "page_docs")
 
+
+
+def _fetched(t: Tables) -> DataFrame:
+    path = _folder(t)
+    t.pages.select("page_id", "url", F.lit(200).alias("http_status"), F.lit("http").alias("lane"), "html").write.parquet(path)
+    return tables.scan_fetch_log(t.spark, path, "page_id long, url string, http_status int, lane string, html string")
+
+
+def _files(t: Tables) -> DataFrame:
+    path = _folder(t)
+    t.nation.select(F.concat(F.lit("%PDF "), "n_name").alias("value")).repartition(2).write.text(path)
+    return tables.scan_files(t.spark, path, "*.txt")
+
+
+_add("fetch_page", lambda t: _fetched(t).select("page_id", "url", "http_status", F.length("html").alias("n")), "select page_id, url, 200 as http_status, length(html)::int as n from pages")
+_add("render_page", lambda t: _fetched(t).filter("lane = 'http'").select("page_id", F.md5("html").alias("v")), "select page_id, md5(html) as v from pages")
+_add("fetch_binary", lambda t: _files(t).agg(F.sum("length").alias("bytes"), F.bool_and(F.hex(F.substring("content", 1, 4)) == "25504446").alias("pdf")), "select sum(length(n_name) + 6)::bigint as bytes, true as pdf from nation")
+
 # URL functions -------------------------------------------------------------------------------------------------------
 
 
@@ -113,7 +135,7 @@ _add("link_id", lambda t: t.monitored_links.select("rec_id", U.link_id(F.col("wb
 _add("detection_id", lambda t: t.page_links.select("rec_id", "doc_key", U.detection_id(F.col("wba_id"), F.col("page_url"), F.col("document_url")).alias("v")), f"select rec_id, doc_key, {S.owned('wba_id', S.total('page_url') + " || '|' || " + S.total('document_url'), 10)} as v from page_links", "page_links")
 _add("library_id", lambda t: t.page_links.select("rec_id", "doc_key", U.library_id(F.col("wba_id"), F.col("document_url")).alias("v")), f"select rec_id, doc_key, {S.owned('wba_id', S.total('document_url'), 10)} as v from page_links", "page_links")
 _add("url_join", lambda t: t.page_docs.select("doc_key", U.url_join(F.col("document_url"), F.lit("../a/./b.pdf?x=1")).alias("v")), "select doc_key, regexp_extract(document_url, '^(https?://[^/?#]*)', 1) || case when " + S.path("document_url") + " like '/files/static-files/%' then '/files' else '' end || '/a/b.pdf?x=1' as v from page_docs", "page_docs")
-_add("content_hash", lambda t: diff.content_hash(t.page_links), f"select rec_id, md5(string_agg(k, chr(10) order by k)) as content_hash from (select distinct rec_id, {S.key('document_url')} as k from page_links) group by rec_id", "page_links")
+_add("content_hash", lambda t: diff.content_hash(t.visited_pages, t.page_links), f"select p.rec_id, md5(coalesce(string_agg(k, chr(10) order by k), '')) as content_hash from visited_pages p left join (select distinct rec_id, {S.key('document_url')} as k from page_links) l on l.rec_id = p.rec_id group by p.rec_id", "page_links", "visited_pages")
 
 # Text functions ------------------------------------------------------------------------------------------------------
 _VISIBLE = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '<!--.*?-->', ' ', 'gs'), '<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<noscript[^>]*>.*?</noscript>|<svg[^>]*>.*?</svg>', ' ', 'gis'), '<[^>]+>', ' ', 'gs'), '\\s+', ' ', 'g'))"
@@ -126,7 +148,7 @@ _add("text_hash", lambda t: t.documents.select("doc_id", X.text_hash(F.col("text
 _add("clip", lambda t: t.documents.select("doc_id", X.clip(F.col("text")).alias("v")), "select doc_id, substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 10000) as v from documents")
 _add("truthy", lambda t: t.monitored_links.select("rec_id", X.truthy(F.col("monitor")).alias("v")), "select rec_id, monitor as v from monitored_links", "monitored_links")
 _add("eff_type", lambda t: t.report_library.select("rec_id", X.effective_type(F.col("source_type_check"), F.col("source_type")).alias("v")), "select rec_id, coalesce(nullif(trim(source_type_check), ''), nullif(trim(source_type), ''), '') as v from report_library", "report_library")
-_add("norm_value", lambda t: t.report_library.select("rec_id", X.norm_value(F.col("source_type")).alias("v")), "select rec_id, nullif(trim(source_type), '') as v from report_library", "report_library")
+_add("norm_value", lambda t: t.report_library.select("rec_id", X.norm_value(F.col("source_type")).alias("v"), X.norm_value(F.col("year").cast("double")).alias("y")), "select rec_id, nullif(trim(source_type), '') as v, cast(year as varchar) as y from report_library", "report_library")
 _RULES = " ".join(f"when regexp_matches(b, '{rule}') then '{kind}'" for kind, rule in X.PAGE_RULES)
 _add("page_rule_classify", lambda t: t.page_candidates.select("pos", X.page_type(F.col("link"), F.col("text")).alias("v")), f"select pos, case {_RULES} else 'other' end as v from (select pos, lower({S.path('link')} || ' ' || text) as b from page_candidates)", "page_candidates")
 _add("freq_label_for", lambda t: t.monitored_links.select("rec_id", X.frequency_for(F.col("type")).alias("f"), X.label_for(F.col("type")).alias("l")), "select rec_id, case type when 'news' then 'daily' when 'reports_hub' then 'mon_wed_fri' when 'sustainability_page' then 'mon_wed_fri' when 'investor_relations' then 'mon_wed_fri' else 'mon_fri' end as f, case type when 'homepage' then 'Homepage' when 'reports_hub' then 'Reports' when 'sustainability_page' then 'Sustainability' when 'investor_relations' then 'Investor Relations' when 'policies' then 'Policies' when 'news' then 'News' else 'Other' end as l from monitored_links", "monitored_links")
@@ -154,12 +176,12 @@ _add("reclaim", lambda t: files.reclaim(t.attach_rows), "select rec_id, cast(nul
 _add("classify_todo", lambda t: classify.classify_todo(t.attach_rows).select("rec_id"), "select rec_id from attach_rows where match_confidence is null", "attach_rows")
 _add("ids_todo", lambda t: resolve.ids_todo(t.monitored_links.withColumn("link_id", F.when(F.col("page_id") % 2 == 0, "x"))), f"select rec_id, {S.owned('wba_id', S.total('url'), 8)} as link_id from monitored_links where page_id % 2 <> 0", "monitored_links")
 _add("harvest_pages", lambda t: harvest.harvest_pages(t.monitored_links).select("rec_id"), "select rec_id from monitored_links where monitor and type in ('reports_hub', 'sustainability_page', 'sustainability_report', 'investor_relations', 'policies')", "monitored_links")
-_add("spa_handoff", lambda t: diff.spa_handoff(links.n_hard_docs(t.page_links).join(t.monitored_links, "rec_id").withColumns({"spa": F.col("page_id") % 2 == 0, "bait": F.col("page_id") % 3 == 0})), "select rec_id, true as needs_browser from monitored_links join (select rec_id, count(*) filter (where split_part(lower(document_url), '?', 1) like '%.pdf') as n from page_links group by rec_id) using (rec_id) where n < 3 and type in ('sustainability_page', 'reports_hub', 'sustainability_report', 'policies', 'investor_relations') and (page_id % 2 = 0 or page_id % 3 = 0)", "monitored_links", "page_links")
+_add("spa_handoff", lambda t: diff.spa_handoff(t.monitored_links.join(links.n_hard_docs(t.page_links), "rec_id", "left").withColumns({"spa": F.col("page_id") % 2 == 0, "bait": F.col("page_id") % 3 == 0})), "select rec_id, true as needs_browser from monitored_links left join (select rec_id, count(*) filter (where split_part(lower(document_url), '?', 1) like '%.pdf') as n from page_links group by rec_id) using (rec_id) where coalesce(n, 0) < 3 and type in ('sustainability_page', 'reports_hub', 'sustainability_report', 'policies', 'investor_relations') and (page_id % 2 = 0 or page_id % 3 = 0)", "monitored_links", "page_links")
 _add("random_sample", lambda t: files.random_sample(t.page_docs, 50))
 
 # Joins ---------------------------------------------------------------------------------------------------------------
 _add("link_companies", lambda t: resolve.link_companies(t.report_library, t.companies), "select r.rec_id, c.rec_id as company_rec from report_library r join companies c using (wba_id)", "report_library", "companies")
-_add("link_companies_orphans", lambda t: resolve.link_companies_orphans(t.monitored_links, t.companies), "select distinct wba_id from monitored_links where wba_id not in (select wba_id from companies)", "monitored_links", "companies")
+_add("link_companies_orphans", lambda t: resolve.link_companies_orphans(t.monitored_links, t.companies.filter("analyst is not null")), "select distinct wba_id from monitored_links where wba_id not in (select wba_id from companies where analyst is not null)", "monitored_links", "companies")
 
 
 def _pages_with_ids(t: Tables) -> DataFrame:
@@ -174,7 +196,7 @@ _IDS = f"with p as (select rec_id, {S.owned('wba_id', S.total('url'), 8)} as lin
 _add("link_documents", lambda t: resolve.link_documents(_docs_with_ids(t), _pages_with_ids(t)), _IDS + "select d.rec_id, g.s as source_page from d join (select link_id, max(rec_id) as s from p group by link_id) g using (link_id)", "monitored_links", "page_links")
 _add("link_documents_missing", lambda t: resolve.link_documents_missing(_docs_with_ids(t), _pages_with_ids(t)), _IDS + "select count(*) as missing from d where link_id not in (select link_id from p)", "monitored_links", "page_links")
 _add("reconcile_analyst", lambda t: resolve.reconcile_analyst(_analysts(t), t.companies), "with r as (select rec_id, wba_id, case page_id % 3 when 0 then null else 'usr' || cast(page_id % 7 as varchar) end as have from monitored_links), o as (select r.rec_id, case when have is not distinct from analyst then 'ok' when analyst is null then 'cleared' when have is null then 'set' else 'fixed' end as outcome, analyst from r join companies using (wba_id)) select * from o where outcome <> 'ok'", "monitored_links", "companies")
-_add("reconcile_stats", lambda t: resolve.reconcile_stats(_analysts(t), t.companies), "with r as (select rec_id, wba_id, case page_id % 3 when 0 then null else 'usr' || cast(page_id % 7 as varchar) end as have from monitored_links), o as (select case when have is not distinct from analyst then 'ok' when analyst is null then 'cleared' when have is null then 'set' else 'fixed' end as outcome from r join companies using (wba_id)) select outcome, count(*) as n from o group by outcome", "monitored_links", "companies")
+_add("reconcile_stats", lambda t: resolve.reconcile_stats(_analysts(t), t.companies.filter("wba_id <> 'PT_00003'")), "with r as (select rec_id, wba_id, case page_id % 3 when 0 then null else 'usr' || cast(page_id % 7 as varchar) end as have from monitored_links), c as (select * from companies where wba_id <> 'PT_00003'), o as (select case when have is not distinct from analyst then 'ok' when analyst is null then 'cleared' when have is null then 'set' else 'fixed' end as outcome from r join c using (wba_id)) select outcome, count(*) as n from o group by outcome union all select 'orphans', count(distinct wba_id) from r where wba_id not in (select wba_id from c)", "monitored_links", "companies")
 
 
 def _analysts(t: Tables) -> DataFrame:
@@ -233,24 +255,33 @@ _add("harvest_counts", lambda t: harvest.harvest_counts(harvest.harvest_build(_f
 _add("harvest_top_entities", lambda t: harvest.top_entities(harvest.harvest_build(_found(t))), f"with {_BUILT} select wba_id, count(*) as n from lib group by wba_id order by n desc, wba_id limit 10", "page_links")
 _add("scheme_stats", lambda t: harvest.scheme_stats(t.page_links.withColumn("document_url", F.when(F.col("doc_key") % 4 == 1, U.url_key(F.col("document_url"))).otherwise(F.col("document_url")))), f"with {_FOUND} select count(*) filter (where doc_key % 4 <> 1) as fetchable, count(*) filter (where doc_key % 4 = 1) as bare from page_links where type in ('reports_hub', 'sustainability_page', 'sustainability_report', 'investor_relations', 'policies') and {S.is_pdf('document_url')}", "page_links")
 _VOTE = f"v as (select wba_id, {S.domain('url')} as d, count(*) as n, min(rec_id) as f, min(case when type = 'homepage' then rec_id end) as h from monitored_links group by 1, 2)"
+_NAMED = "case when page_id % 12 = 5 then null when page_id % 3 = 0 then '' else 'Name ' || cast(page_id as string) end"
 _add("domain_vote", lambda t: resolve.domain_vote(t.monitored_links), f"with {_VOTE} select wba_id, d as domain from (select *, row_number() over (partition by wba_id order by h is null, h, n desc, f) as r from v) where r = 1", "monitored_links")
-_add("homepage_pick", lambda t: resolve.homepage_pick(t.monitored_links), f"with {_VOTE}, b as (select wba_id, d from (select *, row_number() over (partition by wba_id order by n desc, f) as r from v) where r = 1), h as (select wba_id, max_by(url, rec_id) as u from monitored_links where type = 'homepage' group by wba_id) select wba_id, coalesce(u, 'https://' || d) as homepage from b left join h using (wba_id)", "monitored_links")
+_add("homepage_pick", lambda t: resolve.homepage_pick(t.monitored_links.withColumn("company_name", F.expr(_NAMED))), f"with {_VOTE}, b as (select wba_id, d from (select *, row_number() over (partition by wba_id order by n desc, f) as r from v) where r = 1), h as (select wba_id, max_by(url, rec_id) filter (where type = 'homepage') as u, max_by(nm, rec_id) filter (where nm <> '') as name from (select *, {_NAMED} as nm from monitored_links) group by wba_id) select wba_id, name, coalesce(u, 'https://' || d) as homepage from b join h using (wba_id) where name is not null", "monitored_links")
 _add("outcome_histogram", lambda t: files.outcome_histogram(t.attach_rows.select(F.coalesce("cover_status", F.lit("todo")).alias("outcome"))), "select coalesce(cover_status, 'todo') as outcome, count(*) as n, round(100.0 * count(*) / (select count(*) from attach_rows), 1)::double as percent from attach_rows group by 1", "attach_rows")
-_add("run_summary", lambda t: diff.run_summary(t.fetch_log), "select count(*) as fetched, count(*) filter (where http_status is null) as failed, count(*) filter (where http_status >= 400) as dead, count(*) filter (where http_status < 400 and redirected) as redirected, count(*) filter (where http_status < 400 and not redirected) as ok from fetch_log", "fetch_log")
+_add("run_summary", lambda t: diff.run_summary(t.fetch_log.filter("fetch_id % 3 <> 0").selectExpr("*", "fetch_id % 5 = 0 as changed", "fetch_id % 10 = 0 as high", "nullif(fetch_id % 7 = 0, false) as needs_browser", "fetch_id % 61 as seconds"), t.fetch_log), "select count(*) as fetched, count(*) filter (where http_status is null or http_status >= 400) as failed, count(*) filter (where http_status >= 400) as dead, count(*) filter (where http_status < 400 and redirected) as redirected, count(*) filter (where http_status < 400 and not redirected) as ok, count(*) filter (where fetch_id % 5 = 0) as changed, count(*) filter (where fetch_id % 10 = 0) as alerted, count(*) filter (where fetch_id % 7 = 0) as promoted, count(*) filter (where fetch_id % 61 > 30) as slow, (select count(*) from fetch_log) - count(*) as left from fetch_log where fetch_id % 3 <> 0", "fetch_log")
 
 # Classification ------------------------------------------------------------------------------------------------------
-_VOCAB = "vocab as (select * from (values " + ", ".join(f"({i}, '{k}', '{w}', {n})" for i, k, w, n in V.rows(V.CORE)) + ") v(o, type, term, n))"
+_VOCAB = f"vocab as (select * from (values {_TERMS}) v(o, type, term, n))"
 _CLASSIFIED = f"{_VOCAB}, txt as (select doc_key, ' ' || regexp_replace(lower({S.path('document_url')}), '[-_/.[:space:]]+', ' ', 'g') || ' ' as s from page_docs), sc as (select doc_key, o, type, sum(n) as score, max(n) as longest from txt join vocab on contains(s, ' ' || term || ' ') group by 1, 2, 3), best as (select * from (select *, row_number() over (partition by doc_key order by score desc, o) as r from sc) where r = 1), classified as (select doc_key, coalesce(type, '') as source_type, case when type is null then 'unresolved' when longest >= 2 then 'high' else 'low' end as match_confidence from page_docs left join best using (doc_key))"
 _add("classify_library", lambda t: classify.classify_library(t.page_docs, V.vocabulary(t.spark)), f"with {_CLASSIFIED} select * from classified", "page_docs")
 _add("classify_distribution", lambda t: classify.classify_distribution(classify.classify_library(t.page_docs, V.vocabulary(t.spark))), f"with {_CLASSIFIED} select source_type, match_confidence, count(*) as n, round(100.0 * count(*) / (select count(*) from classified), 1)::double as percent from classified group by 1, 2", "page_docs")
 
 # Change detection ----------------------------------------------------------------------------------------------------
-_NEW = f"cur as (select distinct rec_id, type, {S.key('document_url')} as key from page_links), old as (select distinct rec_id, {S.key('document_url')} as key from seen_before), new as (select rec_id, key, type from cur where type <> 'news' and rec_id in (select rec_id from old) and not exists (select 1 from old o where o.rec_id = cur.rec_id and o.key = cur.key))"
-_add("change_detect", lambda t: diff.change_detect(t.page_links, t.seen_before), f"with {_NEW} select rec_id, key from new", "page_links", "seen_before")
-_add("detections", lambda t: diff.detections(t.page_links, t.seen_before, RUN), f"with {_NEW}, shown as (select rec_id, {S.key('document_url')} as key, min(document_url) as document_url, min(wba_id) as wba_id, min(type) as page_type, min(page_url) as found_on from page_links group by 1, 2) select date '{RUN}' as detected, wba_id, document_url, found_on, page_type, key like '%.pdf' as is_pdf, 'new' as status, {S.owned('wba_id', S.total('found_on'), 8)} as source_link_id, {S.owned('wba_id', S.total('found_on') + " || '|' || " + S.total('document_url'), 10)} as detection_id from new join shown using (rec_id, key)", "page_links", "seen_before")
-_add("new_links_line", lambda t: diff.new_links_line(t.page_links, t.seen_before, RUN), f"with {_NEW} select rec_id, '{RUN}: ' || string_agg(key, ' ; ' order by key) as new_links from new group by rec_id", "page_links", "seen_before")
-_add("alert_gate", lambda t: diff.alert_gate(t.page_links, t.seen_before), f"with {_NEW} select rec_id, count(*) as n_new, bool_or(key like '%.pdf') or min(type) in ('reports_hub', 'sustainability_page') as high from new group by rec_id", "page_links", "seen_before")
+_SIDES = f"cur as (select rec_id, key, min(document_url) as document_url, min_by(title, document_url) as title from (select rec_id, {S.key('document_url')} as key, document_url, trim(title) as title from (select rec_id, document_url, min(trim(title)) as title from page_links group by 1, 2)) group by 1, 2), old as (select distinct rec_id, {S.key('document_url')} as key from seen_before), sides as (select cur.*, old.key is not null as had from cur left join old using (rec_id, key))"
+_NEW = f"{_SIDES}, new as (select s.*, p.* exclude (rec_id) from sides s join visited_pages p using (rec_id) where not had and type <> 'news' and content_hash is not null)"
+_DIFF = ("page_links", "seen_before", "visited_pages")
+_sides = lambda t: (t.visited_pages, t.page_links, t.seen_before)
+_ENTRY = "key || case when title <> '' then '  [' || left(title, 70) || ']' else '' end"
+_HISTORY = "case when new_links is null then '' else chr(10) || new_links end"
+_add("change_detect", lambda t: diff.change_detect(*_sides(t)), f"with {_NEW} select rec_id, key from new", *_DIFF)
+_add("detections", lambda t: diff.detections(*_sides(t), RUN), f"with {_NEW} select date '{RUN}' as detected, wba_id, company_name, document_url, title, url as found_on, type as page_type, key like '%.pdf' as is_pdf, 'new' as status, {S.owned('wba_id', S.total('url'), 8)} as source_link_id, {S.owned('wba_id', S.total('url') + " || '|' || " + S.total('document_url'), 10)} as detection_id from new", *_DIFF)
+_add("new_links_line", lambda t: diff.new_links_line(*_sides(t), RUN), f"with {_NEW} select rec_id, '{RUN}: ' || string_agg({_ENTRY}, ' ; ' order by key) || {_HISTORY} as new_links from new group by rec_id, new_links", *_DIFF)
+_add("alert_gate", lambda t: diff.alert_gate(*_sides(t)), f"with {_NEW} select rec_id, count(*) as n_new, bool_or(key like '%.pdf') or min(type) in ('reports_hub', 'sustainability_page') as high from new group by rec_id", *_DIFF)
+_add("page_updates", lambda t: diff.page_updates(*_sides(t), RUN), f"with {_SIDES}, per as (select p.rec_id, coalesce(string_agg(key, chr(10) order by key), '') as keys, coalesce(string_agg(document_url, chr(10) order by key), '') as seen_links, string_agg({_ENTRY}, ' ; ' order by key) filter (where not had) as entries, coalesce(bool_or(key like '%.pdf') filter (where not had), false) as pdf, any_value(new_links) as new_links, any_value(type) as type, any_value(content_hash) as content_hash from visited_pages p left join sides s on s.rec_id = p.rec_id group by p.rec_id), told as (select *, entries is not null and type <> 'news' and content_hash is not null as changed from per) select rec_id, md5(keys) as content_hash, seen_links, case when changed then '{RUN}: ' || entries || {_HISTORY} end as new_links, case when changed then date '{RUN}' end as last_change, case when changed and (pdf or type in ('reports_hub', 'sustainability_page')) then 'new' end as alert_status from told", *_DIFF)
 _add("fetch_status", lambda t: t.fetch_log.select("fetch_id", *(c.alias(n) for c, n in zip(diff.fetch_status(F.col("http_status"), F.col("redirected")), ("status", "http"), strict=True))), "select fetch_id, case when http_status is null then 'error' when http_status >= 400 then 'dead' when redirected then 'redirected' else 'ok' end as status, coalesce(cast(http_status as varchar), '') as http from fetch_log", "fetch_log")
+_FINAL = "case fetch_id % 5 when 0 then null when 1 then 'https://www.Ex.org/p/?utm_source=a' when 2 then 'https://ex.org/elsewhere' else 'https://ex.org/p' end"
+_add("browser_status", lambda t: t.fetch_log.withColumn("final", F.expr(_FINAL)).select("fetch_id", *(c.alias(n) for c, n in zip(diff.browser_status(F.col("http_status"), F.lit("https://ex.org/p"), F.col("final")), ("status", "http"), strict=True))), "select fetch_id, case when coalesce(http_status, 0) >= 400 then 'dead' when fetch_id % 5 = 0 then 'error' when fetch_id % 5 = 2 then 'redirected' else 'ok' end as status, coalesce(cast(http_status as varchar), '') as http from fetch_log", "fetch_log")
 _add("harvest_explode", lambda t: _found(t).select("rec_id", "document_url", "found_on"), f"with {_FOUND} select rec_id, document_url, found_on from found", "page_links")
 _add("harvest_build", lambda t: harvest.harvest_build(_found(t)), f"with {_BUILT} select library_id, wba_id, document_url, found_on, type as page_type, {S.year('document_url')} as doc_year, {S.owned('wba_id', S.total('found_on'), 8)} as source_link_id from lib", "page_links")
 
@@ -265,8 +296,9 @@ def _accepted(t: Tables) -> DataFrame:
 
 
 # With one key a candidate the fold is the same as a cap by type and a cap by entity.
-_add("crawl_accept", _accepted, f"with {_CAND}, typed as (select *, case {_RULES} else 'other' end as type from (select *, lower({S.path('link')} || ' ' || text) as b from cand where rank <= 20)), ok as (select * from typed where (type <> 'other' or rank % 2 = 0) and not exists (select 1 from page_candidates p where p.pos % 10 = 0 and p.wba_id = typed.wba_id and {S.key('p.link')} = typed.key)), capped as (select *, row_number() over (partition by wba_id, type order by rank) as n from ok) select wba_id, cast(place as int) as place, link, type from (select *, row_number() over (partition by wba_id order by rank) as place from capped where n <= 2) where place <= 10", "page_candidates")
-_add("discovered_rows", lambda t: discover.discovered_rows(_accepted(t), t.companies.select(F.concat(F.lit("PT_"), F.substring("rec_id", 5, 9)).alias("wba_id"), "company_name")))
+_ACCEPTED = f"{_CAND}, typed as (select *, case {_RULES} else 'other' end as type from (select *, lower({S.path('link')} || ' ' || text) as b from cand where rank <= 20)), ok as (select * from typed where (type <> 'other' or rank % 2 = 0) and not exists (select 1 from page_candidates p where p.pos % 10 = 0 and p.wba_id = typed.wba_id and {S.key('p.link')} = typed.key)), capped as (select *, row_number() over (partition by wba_id, type order by rank) as n from ok), accepted as (select wba_id, cast(place as int) as place, link, type from (select *, row_number() over (partition by wba_id order by rank) as place from capped where n <= 2) where place <= 10)"
+_add("crawl_accept", _accepted, f"with {_ACCEPTED} select * from accepted", "page_candidates")
+_add("discovered_rows", lambda t: discover.discovered_rows(_accepted(t), t.companies.select(F.concat(F.lit("PT_"), F.substring("rec_id", 5, 9)).alias("wba_id"), "company_name")), f"with {_ACCEPTED} select company_name || ' — ' || case type when 'homepage' then 'Homepage' when 'reports_hub' then 'Reports' when 'sustainability_page' then 'Sustainability' when 'investor_relations' then 'Investor Relations' when 'policies' then 'Policies' when 'news' then 'News' else 'Other' end as link_name, a.wba_id, link as url, type, true as monitor, case type when 'news' then 'daily' when 'reports_hub' then 'mon_wed_fri' when 'sustainability_page' then 'mon_wed_fri' when 'investor_relations' then 'mon_wed_fri' else 'mon_fri' end as frequency, 'sweep' as source from accepted a join companies c on a.wba_id = 'PT_' || substring(c.rec_id, 5, 9)", "page_candidates", "companies")
 _QUEUE = "q as (select *, row_number() over (partition by pool order by coalesce(last_checked, ''), rec_id) as n from (select *, case when status in ('dead', 'error') then 'rescue' else 'productive' end as pool from monitored_links))"
 _add("order_targets", lambda t: schedule.order_targets(t.monitored_links, 40), f"with {_QUEUE}, p as (select *, case when pool = 'productive' then case when n <= 30 then 0 else 2 end when n <= 10 then 1 else 3 end as place from q) select rec_id, pool, cast(turn as int) as turn from (select *, row_number() over (order by place, n) as turn from p) where turn <= 40", "monitored_links")
 _add("order_targets_all", lambda t: schedule.order_targets(t.monitored_links, 0), f"with {_QUEUE} select rec_id, pool, cast(row_number() over (order by pool, n) as int) as turn from q", "monitored_links")
@@ -331,7 +363,8 @@ def _bodies(t: Tables) -> DataFrame:
 
 _COVER = "case when f % 7 = 0 then 'download_fail' when f % 5 = 0 then 'not_pdf' when f % 11 = 0 or f % 3 = 0 then 'truncated' {parse} when f % 4 = 0 then 'no_text' else 'ok' end"
 _add("cover_outcome", lambda t: _bodies(t).select("fetch_id", files.cover_outcome(F.col("b"), F.col("n"), F.col("p"), F.col("t")).alias("v")), f"select f as fetch_id, {_COVER.format(parse='when f % 13 = 0 then ' + repr('parse_fail'))} as v from (select fetch_id as f from fetch_log)", "fetch_log")
-_add("diagnose_verdict", lambda t: _bodies(t).select("fetch_id", files.diagnose_verdict(F.col("b"), F.col("n"), F.col("t"), ~F.col("p"), F.when(F.col("fetch_id") % 17 != 0, "u")).alias("v")), "select f as fetch_id, case when f % 17 = 0 then 'no_url' when f % 7 = 0 then 'dl_err' when f % 5 = 0 then 'not_pdf' when f % 11 = 0 or f % 3 = 0 then 'truncated' when f % 13 = 0 and f % 4 <> 0 then 'text_ok_len_fail' when f % 13 = 0 then 'reader_fail' when f % 4 = 0 then 'no_text' else 'ok' end as v from (select fetch_id as f from fetch_log)", "fetch_log")
+_PROBES = {"u": "case when fetch_id % 17 <> 0 then 'u' end", "o": "fetch_id % 11 <> 0", "x": "case when fetch_id % 13 <> 0 then fetch_id % 4 end", "g": "case when fetch_id % 3 <> 0 then fetch_id % 9 end"}
+_add("diagnose_verdict", lambda t: _bodies(t).withColumns({k: F.expr(v) for k, v in _PROBES.items()}).select("fetch_id", files.diagnose_verdict(F.col("u"), F.col("b"), F.col("o"), F.col("x"), F.col("g")).alias("v")), "select f as fetch_id, case when f % 17 = 0 then 'no_url' when f % 7 = 0 then 'dl_err' when f % 5 = 0 then 'not_pdf' when f % 11 = 0 then 'reader_fail' when f % 13 <> 0 and f % 4 <> 0 then case when f % 3 = 0 then 'text_ok_len_fail' else 'ok' end when f % 3 <> 0 then 'no_text' else 'parse_fail' end as v from (select fetch_id as f from fetch_log)", "fetch_log")
 
 # Streaming -----------------------------------------------------------------------------------------------------------
 

@@ -30,12 +30,22 @@ def _links(spark, rows):
 
 
 def test_change_detection_states(spark):
-    u = "https://Ex.org/a.PDF"
-    current = _links(spark, [("first", "E", "policies", "https://p", u), ("same", "E", "policies", "https://p", u), ("more", "E", "policies", "https://p", u), ("more", "E", "policies", "https://p", "https://ex.org/b"), ("news", "E", " News ", "https://p", u), ("hub", "E", "reports_hub", "https://p", "https://ex.org/b")])
-    seen = spark.createDataFrame([("same", "ex.org/a.pdf"), ("more", "https://www.ex.org/a.pdf"), ("more", "ex.org/gone"), ("news", "ex.org/z"), ("hub", "ex.org/z")], "rec_id string, document_url string")
-    assert {(r.rec_id, r.key) for r in diff.change_detect(current, seen).collect()} == {("more", "ex.org/b"), ("hub", "ex.org/b")}
-    assert {(r.rec_id, r.high) for r in diff.alert_gate(current, seen).collect()} == {("more", False), ("hub", True)}
-    assert diff.change_detect(current, current.select("rec_id", "document_url")).count() == 0
+    u, b = "https://Ex.org/a.PDF", "https://ex.org/b"
+    pages = [("first", "policies", None, None), ("same", "policies", "h", None), ("more", "policies", "h", "2024-01-01: ex.org/0\n"), ("news", " News ", "h", None), ("hub", "reports_hub", "h", ""), ("bare", None, "d41d8cd98f00b204e9800998ecf8427e", None), ("gone", "policies", "h", None), ("blank", "policies", " " * 0, None)]
+    pages = spark.createDataFrame([(r, "E", "Co", "https://p", *x) for r, *x in pages], "rec_id string, wba_id string, company_name string, url string, type string, content_hash string, new_links string")
+    links = spark.createDataFrame([("first", u, "A"), ("same", u, None), ("more", u, "A"), ("more", b, " B " + "x" * 90), ("more", b + "/", "A"), ("news", u, ""), ("hub", b, ""), ("bare", u, "A"), ("blank", u, "A"), ("same", None, "no link")], "rec_id string, document_url string, title string")
+    seen = spark.createDataFrame([("same", "ex.org/a.pdf"), ("more", "https://www.ex.org/a.pdf"), ("more", "ex.org/gone"), ("news", "ex.org/z"), ("hub", "ex.org/z"), ("gone", "ex.org/z")], "rec_id string, document_url string")
+    sides = (pages, links, seen)
+    assert {(r.rec_id, r.key) for r in diff.change_detect(*sides).collect()} == {("more", "ex.org/b"), ("hub", "ex.org/b"), ("bare", "ex.org/a.pdf")}
+    assert {(r.rec_id, r.high) for r in diff.alert_gate(*sides).collect()} == {("more", False), ("hub", True), ("bare", True)}
+    assert diff.change_detect(pages, links, links.select("rec_id", "document_url")).count() == 0 and diff.change_detect(pages, links.limit(0), seen).count() == 0
+    got = {r.rec_id: r for r in diff.page_updates(*sides, DAY).collect()}
+    assert len(got) == 8 and got["gone"].content_hash == "d41d8cd98f00b204e9800998ecf8427e" and got["gone"].seen_links == ""
+    line = f"2024-02-01: ex.org/b  [B {'x' * 68}]"
+    assert (got["more"].new_links, got["more"].last_change, got["more"].alert_status, got["more"].seen_links) == (line + "\n2024-01-01: ex.org/0", DAY, None, f"{u}\n{b}")
+    assert got["hub"].alert_status == "new" and got["bare"].new_links == "2024-02-01: ex.org/a.pdf  [A]" and got["first"].new_links is None and got["news"].last_change is None
+    assert {r.rec_id: r.new_links for r in diff.new_links_line(*sides, DAY).collect()} == {k: got[k].new_links for k in ("more", "hub", "bare")}
+    assert {(r.title, r.company_name) for r in diff.detections(*sides, DAY).collect()} == {("B " + "x" * 90, "Co"), ("", "Co"), ("A", "Co")}
 
 
 @pytest.mark.parametrize(("years", "want"), [([2020], "single (2020)"), ([2019, 2020, 2021], "annual (next ~2022)"), ([2016, 2018, 2020], "biennial (next ~2022)"), ([2010, 2013, 2016, 2017], "~every 3y (next ~2020)"), ([2017, 2018, 2020], "irregular (last 2020)")])
