@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,15 +99,89 @@ def sust_cadence(library: DataFrame) -> DataFrame:
     return summed.select("wba_id", text.alias("sust_cadence"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluates ``value`` once for a row and hands it to ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _total(cells: Column) -> Column:
+    return F.aggregate(cells, F.lit(0).cast("long"), lambda s, x: s + x["n"])
+
+
+def _by(cells: Column, field: str, line: Callable[[Column, Column], Column], order: Callable[[Column, Column], Column], sep: str) -> Column:
+    """A line for each value of ``field`` from that value's cells, in order."""
+    groups = F.transform(F.array_distinct(F.transform(cells, lambda x: x[field])), lambda v: F.struct(v.alias("v"), F.filter(cells, lambda x: x[field].eqNullSafe(v)).alias("own")))
+    lines = F.transform(groups, lambda g: F.struct(order(g["v"], g["own"]).alias("o"), line(g["v"], g["own"]).alias("line")))
+    return F.array_join(F.transform(F.array_sort(lines), lambda x: x["line"]), sep)
+
+
+def _cadence(years: Column) -> Column:
+    """The rhythm of a sorted array of distinct years; NULL if it is empty."""
+
+    def told(gaps: Column) -> Column:
+        last = F.array_max(years)
+        next_ = lambda step: F.concat(F.lit("(next ~"), (last + step).cast("string"), F.lit(")"))
+        modal = F.array_max(F.transform(F.array_distinct(gaps), lambda g: F.struct(F.size(F.filter(gaps, lambda x: x == g)).alias("n"), g.alias("gap"))))
+        every = lambda n: (F.array_min(gaps) == n) & (F.array_max(gaps) == n)
+        return (
+            F.when(F.size(years) == 0, F.lit(None).cast("string"))
+            .when(F.size(years) == 1, F.concat(F.lit("single ("), last.cast("string"), F.lit(")")))
+            .when(every(1), F.concat(F.lit("annual "), next_(F.lit(1))))
+            .when(every(2), F.concat(F.lit("biennial "), next_(F.lit(2))))
+            .when(modal["n"] / F.size(gaps) >= 0.6, F.concat(F.lit("~every "), modal["gap"].cast("string"), F.lit("y "), next_(modal["gap"])))
+            .otherwise(F.concat(F.lit("irregular (last "), last.cast("string"), F.lit(")")))
+        )
+
+    gaps = F.when(F.size(years) < 2, F.array().cast("array<int>")).otherwise(F.transform(F.slice(years, 2, F.size(years)), lambda y, i: y - F.get(years, i)))
+    return _let(gaps, told)
+
+
+def entity_docs(library: DataFrame) -> DataFrame:
+    """All of an entity's figures on documents, from one scan: its rows are counted by type and year first, which leaves few cells."""
+    cells = live_docs(library).groupBy("wba_id", "t", "y").agg(F.count("*").alias("n"), F.count_if("has_file").alias("files"))
+    t, y = F.col("t"), F.col("y")
+    latest = lambda names: F.max(F.when(t.isin(*names), y))
+    rows = cells.groupBy("wba_id").agg(
+        F.sum("n").alias("docs_total"), F.sum("files").alias("docs_with_file"), F.sum(F.when(t.isin("", "UNKNOWN"), 0).otherwise(F.col("n"))).alias("docs_typed"),
+        latest(REPORTS).alias("latest_report_year"), latest(SUST).alias("_sust"), latest(ANNUAL).alias("_annual"),
+        F.bool_or(t.isin(*SUST)).alias("_has_sust"), F.bool_or(t.isin(*ANNUAL)).alias("_has_annual"), *(F.bool_or(t == x).alias(f"_has{i}") for i, x in enumerate(IMPORTANT)),
+        F.collect_list(F.struct("t", "y", "n")).alias("cells"),
+    )
+    text = lambda x: x.cast("string")
+    newest = lambda own: F.array_max(F.transform(own, lambda x: x["y"]))
+    typed = lambda v, own: F.concat(v, F.lit(": "), text(_total(own)), F.coalesce(F.concat(F.lit(" (latest "), text(newest(own)), F.lit(")")), F.lit("")))
+    dated = lambda v, own: F.concat(F.coalesce(text(v), F.lit("undated")), F.lit(": "), text(_total(own)))
+    sust = F.filter("cells", lambda x: x["t"].isin(*SUST))
+    years = F.array_sort(F.array_distinct(F.transform(F.filter(sust, lambda x: x["y"].isNotNull()), lambda x: x["y"])))
+    return rows.withColumn("_years", years).select(
+        *(c for c in rows.columns if c != "cells"),
+        _by(F.filter("cells", lambda x: x["t"] != ""), "t", typed, lambda v, own: F.struct((-_total(own)).alias("n"), v.alias("v")), "\n").alias("coverage_breakdown"),
+        _by(F.col("cells"), "y", dated, lambda v, own: F.coalesce(-v, F.lit(0)), " | ").alias("docs_by_year"),
+        _total(sust).alias("sust_reports_total"), F.array_join(F.transform("_years", text), "; ").alias("sust_years"), _cadence(F.col("_years")).alias("sust_cadence"),
+    )
+
+
+def entity_pages(pages: DataFrame) -> DataFrame:
+    """All of an entity's figures on pages, from one scan."""
+    browser = F.coalesce("needs_browser", F.lit(False)) | F.coalesce(F.col("status").isin("dead", "error"), F.lit(False))
+    cells = _pages(pages).groupBy("wba_id", blank_to_null(F.col("type")).alias("t")).agg(F.count("*").alias("n"), F.count_if("monitor").alias("on"), F.count_if(browser).alias("browser"))
+    rows = cells.groupBy("wba_id").agg(
+        F.sum("n").alias("urls_total"), F.sum("on").alias("urls_monitored"), F.sum("browser").alias("browser_lane"),
+        F.bool_or(F.col("t") == "reports_hub").alias("_hub"), F.bool_or(F.col("t") == "sustainability_page").alias("_page"), F.collect_list(F.struct("t", "n")).alias("cells"),
+    )
+    counted = lambda v, own: F.concat(v, F.lit(": "), _total(own).cast("string"))
+    lines = _by(F.filter("cells", lambda x: x["t"].isNotNull()), "t", counted, lambda v, own: F.struct((-_total(own)).alias("n"), v.alias("v")), "\n")
+    return rows.withColumn("pages_breakdown", lines).drop("cells")
+
+
 def coverage_full(companies: DataFrame, pages: DataFrame, library: DataFrame, *, year_min: int) -> DataFrame:
-    """One row a company: rec_id, wba_id and all statistics. Companies without any row get zeros and their flags."""
-    family = lambda names: F.max(F.when(F.col("type").isin(*names), F.col("latest")))
-    any_of = lambda names: F.bool_or(F.col("type").isin(*names))
-    types = coverage_latest(library).groupBy("wba_id").agg(family(SUST).alias("_sust"), family(ANNUAL).alias("_annual"), any_of(SUST).alias("_has_sust"), any_of(ANNUAL).alias("_has_annual"), *(any_of((t,)).alias(f"_has{i}") for i, t in enumerate(IMPORTANT)))
-    kinds = page_types(pages).groupBy("wba_id").agg(F.bool_or(F.col("type") == "reports_hub").alias("_hub"), F.bool_or(F.col("type") == "sustainability_page").alias("_page"))
+    """One row a company: rec_id, wba_id and all statistics; each table is scanned once.
+
+    Companies without any row get zeros and their flags; companies, rows and pages with a blank or null id are left
+    out; empty tables count as no rows; of repeated companies each has its row.
+    """
     out = companies.select("rec_id", blank_to_null(F.col("wba_id")).alias("wba_id")).filter("wba_id is not null")
-    for part in (coverage_urls(pages), coverage_docs(library), types, kinds, coverage_breakdown(library), pages_breakdown(pages), docs_by_year(library), sust_totals(library), sust_cadence(library)):
-        out = out.join(part, "wba_id", "left")
+    out = out.join(entity_docs(library), "wba_id", "left").join(entity_pages(pages), "wba_id", "left")
     zero = [c for c in ("urls_total", "urls_monitored", "browser_lane", "docs_total", "docs_with_file", "docs_typed", "sust_reports_total")]
     texts = {"coverage_breakdown": "", "pages_breakdown": "", "docs_by_year": "", "sust_years": "", "sust_cadence": "none"}
     out = out.fillna(0, zero).fillna(texts)

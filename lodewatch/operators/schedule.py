@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodewatch.functions.text import is_due
+from lodewatch.operators.sized import maybe_broadcast
 
 RESCUE = ("dead", "error")
 
@@ -34,21 +35,41 @@ def browser_targets(pages: DataFrame, *, entities: list[str] | None = None, cont
     return rows if entities or contains else rows.filter(F.col("status").isin(*RESCUE) | _on("needs_browser"))
 
 
+def ranked(rows: DataFrame, groups: list[str], tie: str, name: str, head: int = 6) -> DataFrame:
+    """``rows`` with their place from 1 in the order of ``groups``, then ``tie`` (text), without one task that sorts them all.
+
+    Rows are numbered inside (groups, the tie's first ``head`` signs), in whose order the numbers before each are added up.
+    """
+    bins = rows.withColumn("_bin", F.left(tie, F.lit(head)))
+    by = [*groups, "_bin"]
+    sizes = bins.groupBy(*by).agg(F.count("*").alias("_size"))
+    before = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy(*by)) - F.col("_size")).select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(by)), "_before")
+    inside = bins.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(tie)))
+    on = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(by)]
+    return inside.join(maybe_broadcast(before), on).withColumn(name, F.col("_before") + F.col("_n")).drop("_bin", "_n", "_before", *(f"_{i}" for i in range(len(by))))
+
+
+def queue_remaining(pages: DataFrame, batch: int) -> DataFrame:
+    """One row: remaining, the queued pages that a run's batch leaves for later runs; none if all pages go."""
+    left = F.greatest(F.count("*") - batch, F.lit(0)) if batch > 0 else F.lit(0).cast("long")
+    return pages.agg(F.count("*").alias("_all"), left.alias("remaining")).select("remaining")
+
+
 def order_targets(pages: DataFrame, batch: int, *, share: float = 0.25, seed: int | None = None) -> DataFrame:
     """The run's batch with its order: pool, turn. Rescues get at most their share, the rest fills up, oldest first.
 
     Within a day pages go by id, or by seeded hash. With ``batch`` 0 or less all pages go, productive ones first.
     Only the first ``batch`` of each pool are ordered; pools are cut by a distributed top-k before they are numbered.
     """
-    tie = F.xxhash64(F.lit(seed), "rec_id") if seed is not None else F.col("rec_id")
+    tie = F.sha1(F.concat(F.lit(f"{seed} "), "rec_id")) if seed is not None else F.col("rec_id")
     rows = pages.withColumns({"pool": F.when(F.coalesce(F.col("status").isin(*RESCUE), F.lit(False)), "rescue").otherwise("productive"), "_day": F.coalesce("last_checked", F.lit("")), "_tie": tie})
     if batch > 0:
         first = lambda pool: rows.filter(F.col("pool") == pool).orderBy("_day", "_tie", "rec_id").limit(batch)
         rows = first("productive").unionByName(first("rescue"))
-    numbered = rows.withColumn("n", F.row_number().over(Window.partitionBy("pool").orderBy("_day", "_tie", "rec_id")))
     if batch <= 0:
-        turn = F.row_number().over(Window.orderBy("pool", "n"))
-        return numbered.select("rec_id", "pool", turn.alias("turn"))
+        rows = rows.withColumn("_tie", F.concat("_tie", F.lit("\0"), "rec_id"))
+        return ranked(rows, ["pool", "_day"], "_tie", "turn", 3 if seed is not None else 6).select("rec_id", "pool", F.col("turn").cast("int").alias("turn"))
+    numbered = rows.withColumn("n", F.row_number().over(Window.partitionBy("pool").orderBy("_day", "_tie", "rec_id")))
     cap = int(batch * share)
     # In turn: the pools' own places, then what is over of the productive pool, then of the rescue pool.
     place = F.when(F.col("pool") == "productive", F.when(F.col("n") <= batch - cap, 0).otherwise(2)).otherwise(F.when(F.col("n") <= cap, 1).otherwise(3))
@@ -65,9 +86,11 @@ def capture_due(pages: DataFrame, run_date: dt.date, *, days: int = 90, limit: i
     """rec_id, turn: pages (rec_id, captured, captured_on) never captured, in order, then those captured ``days`` ago or longer, stalest first."""
     last = F.col("captured_on")
     rows = pages.withColumn("_stale", _on("captured").cast("int")).filter((F.col("_stale") == 0) | last.isNull() | (last <= F.date_sub(F.lit(run_date), days)))
-    order = ["_stale", F.when(F.col("_stale") == 1, F.coalesce("captured_on", F.to_date(F.lit("0001-01-01")))), "rec_id"]
-    rows = rows.orderBy(*order).limit(limit) if limit else rows
-    return rows.select("rec_id", F.row_number().over(Window.orderBy(*order)).cast("long").alias("turn"))
+    rows = rows.withColumn("_day", F.when(F.col("_stale") == 1, F.coalesce("captured_on", F.to_date(F.lit("0001-01-01")))))
+    order = ["_stale", "_day", "rec_id"]
+    if limit:
+        return rows.orderBy(*order).limit(limit).select("rec_id", F.row_number().over(Window.orderBy(*order)).cast("long").alias("turn"))
+    return ranked(rows, ["_stale", "_day"], "rec_id", "turn").select("rec_id", "turn")
 
 
 def capture_transition(visits: DataFrame, *, largest: int = 5_000_000) -> DataFrame:

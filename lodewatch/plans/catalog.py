@@ -301,6 +301,7 @@ _add("crawl_accept", _accepted, f"with {_ACCEPTED} select * from accepted", "pag
 _add("discovered_rows", lambda t: discover.discovered_rows(_accepted(t), t.companies.select(F.concat(F.lit("PT_"), F.substring("rec_id", 5, 9)).alias("wba_id"), "company_name")), f"with {_ACCEPTED} select company_name || ' — ' || case type when 'homepage' then 'Homepage' when 'reports_hub' then 'Reports' when 'sustainability_page' then 'Sustainability' when 'investor_relations' then 'Investor Relations' when 'policies' then 'Policies' when 'news' then 'News' else 'Other' end as link_name, a.wba_id, link as url, type, true as monitor, case type when 'news' then 'daily' when 'reports_hub' then 'mon_wed_fri' when 'sustainability_page' then 'mon_wed_fri' when 'investor_relations' then 'mon_wed_fri' else 'mon_fri' end as frequency, 'sweep' as source from accepted a join companies c on a.wba_id = 'PT_' || substring(c.rec_id, 5, 9)", "page_candidates", "companies")
 _QUEUE = "q as (select *, row_number() over (partition by pool order by coalesce(last_checked, ''), rec_id) as n from (select *, case when status in ('dead', 'error') then 'rescue' else 'productive' end as pool from monitored_links))"
 _add("order_targets", lambda t: schedule.order_targets(t.monitored_links, 40), f"with {_QUEUE}, p as (select *, case when pool = 'productive' then case when n <= 30 then 0 else 2 end when n <= 10 then 1 else 3 end as place from q) select rec_id, pool, cast(turn as int) as turn from (select *, row_number() over (order by place, n) as turn from p) where turn <= 40", "monitored_links")
+_add("queue_remaining", lambda t: schedule.queue_remaining(t.monitored_links, 40), "select greatest(count(*) - 40, 0) as remaining from monitored_links", "monitored_links")
 _add("order_targets_all", lambda t: schedule.order_targets(t.monitored_links, 0), f"with {_QUEUE} select rec_id, pool, cast(row_number() over (order by pool, n) as int) as turn from q", "monitored_links")
 _add("capture_due", lambda t: schedule.capture_due(_captures(t), RUN, days=20), f"with c as (select rec_id, page_id % 3 <> 0 as captured, case when page_id % 3 <> 0 and page_id % 9 <> 0 then cast(last_checked as date) end as captured_on from monitored_links) select rec_id, row_number() over (order by captured, coalesce(captured_on, date '0001-01-01'), rec_id) as turn from c where not captured or captured_on is null or captured_on <= date '{RUN}' - 20", "monitored_links")
 _add("capture_transition", lambda t: schedule.capture_transition(t.fetch_log.select(F.col("fetch_id").alias("rec_id"), F.when(F.col("http_status") == 200, "ok").otherwise("dead").alias("state"), (F.col("fetch_id") % 2 == 0).alias("existing"), (F.col("fetch_id") % 3).alias("old_hash"), F.col("doc_set").alias("new_hash"), F.when(F.col("fetch_id") % 7 != 0, F.col("fetch_id") * 1000).alias("size"))), "with v as (select fetch_id as rec_id, coalesce(http_status = 200, false) as ok, fetch_id % 2 = 0 as existing, fetch_id % 3 as o, doc_set as h, case when fetch_id % 7 <> 0 then fetch_id * 1000 end as size from fetch_log) select rec_id, case when not ok then case when existing then 'touch' else 'stub' end when existing and o = h then 'unchanged' when existing then 'version' else 'first' end as action, case when not ok then 'dead' when existing and o = h then '' when size is null or size > 5000000 then 'too_big' else 'attached' end as file_status from v", "fetch_log")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodewatch.functions.vocab import rows as vocabulary_rows
 from lodewatch.functions.vocab import vocabulary
 from lodewatch.operators import classify, coverage, diff, discover, files, harvest, links, schedule
+from lodewatch.fixtures import Tables
 from lodewatch.sources import tables
 from lodewatch.streaming import changes
 
@@ -144,3 +145,18 @@ def test_cover_states(spark):
     df = spark.createDataFrame([(i, bytearray(b) if b else None, n, p, t) for i, (b, n, p, t) in enumerate(rows)], "i int, b binary, n long, p boolean, t string")
     got = [r[0] for r in df.orderBy("i").select(files.cover_outcome(F.col("b"), F.col("n"), F.col("p"), F.col("t"))).collect()]
     assert got == ["download_fail", "not_pdf", "truncated", "truncated", "parse_fail", "no_text", "ok"]
+
+
+def test_coverage_scans_each_table_once(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    plan = coverage.coverage_full(t.companies, t.monitored_links, t.report_library, year_min=2020)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 3 and "Exchange SinglePartition" not in plan
+
+
+def test_all_pages_are_ordered_in_many_tasks(spark):
+    df = spark.createDataFrame([(f"r{i:03}", ("dead", "ok")[i % 3 > 0], None if i % 4 else "2024-01-01") for i in range(200)], "rec_id string, status string, last_checked string")
+    for seed in (None, 7):
+        turns = [(x.turn, x.pool) for x in schedule.order_targets(df, 0, seed=seed).collect()]
+        assert sorted(t for t, _ in turns) == list(range(1, 201)) and {p for t, p in turns if t <= 133} == {"productive"}
+    assert [x.rec_id for x in schedule.order_targets(df, 0, seed=1).orderBy("turn").collect()] != [x.rec_id for x in schedule.order_targets(df, 0, seed=2).orderBy("turn").collect()]
+    assert schedule.queue_remaining(df, 0).first()[0] == 0 and schedule.queue_remaining(df, 300).first()[0] == 0 and schedule.queue_remaining(df, 150).first()[0] == 50
