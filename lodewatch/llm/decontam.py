@@ -6,13 +6,14 @@ shorter item) hits the words it covers. A table of the benchmark's word pairs sk
 
 The benchmark is the stated query set. It passes through the driver in blocks of at most ``block_words`` words, one
 automaton a block, so what is sent to the executors has a fixed bound; with several blocks the documents are read
-once for each, and their hits are carried along row by row.
+once for each, and of all but the last pass only the hits of documents that have any are kept, and joined at the end.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodewatch.llm._common import cut, id_text, slices
+from lodewatch.operators.sized import maybe_broadcast
 
 _TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: The same words in a text, for their character positions.
@@ -193,15 +195,21 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_
     rows = id_text(docs.withColumn("row", F.struct(*(f"`{c}`" for c in carry))), id_col, text_col, row="row") if carry else id_text(docs, id_col, text_col)
     kinds = dict(rows.dtypes)
     schema = f"doc_id {kinds['doc_id']}, text string, n_words long, hits array<struct<`from`:int,`to`:int>>, n_hit long, items array<string>" + (f", row {kinds['row']}" if carry else "")
-    last = None
+    rows = rows.withColumn("same", F.xxhash64("text"))
+    last, found = None, []
     for items in item_blocks(benchmark, window=window, block_words=block_words):
         if last is not None:
-            rows = cut(rows.mapInArrow(_scanner(last, window), schema), "hits")
+            hit = rows.select("doc_id", "text", "same").mapInArrow(_scanner(last, window, only_hits=True), f"{schema.replace('text string, ', '').split(', row')[0]}, same long")
+            found.append(cut(hit.select("doc_id", "same", "hits", "items").dropDuplicates(["doc_id", "same"]), "hits"))
         last = items
-    return rows.mapInArrow(_scanner(last or [], window, edit), schema)
+    if found:
+        every = reduce(DataFrame.unionByName, found).groupBy("doc_id", "same").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+        before = cut(every.select(F.col("doc_id").alias("d"), F.col("same").alias("s"), "hits", "items"), "hits")
+        rows = rows.join(maybe_broadcast(before), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("same") == F.col("s")), "left").drop("d", "s")
+    return rows.drop("same").mapInArrow(_scanner(last or [], window, edit), schema)
 
 
-def _scanner(items: list[tuple[str, list[bytes]]], window: int, edit: tuple[float, int] | None = None):
+def _scanner(items: list[tuple[str, list[bytes]]], window: int, edit: tuple[float, int] | None = None, only_hits: bool = False):
     import hashlib
 
     key = hashlib.sha256(repr(items).encode()).hexdigest()
@@ -218,10 +226,15 @@ def _scanner(items: list[tuple[str, list[bytes]]], window: int, edit: tuple[floa
                 spans, which = sam.scan(words)
                 if old:
                     spans = merged([*spans, *((x["from"], x["to"]) for x in old)])
+                    which = which.union(old_items)
                 counts.append(len(words))
                 hits.append([{"from": a, "to": b} for a, b in spans])
                 sums.append(sum(b - a for a, b in spans))
-                found.append(sorted(which.union(old_items)))
+                found.append(sorted(which))
+            if only_hits:
+                out = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pair)), pa.array(sums, pa.int64()), pa.array(found, pa.list_(pa.string())), batch.column("same")], ["doc_id", "n_words", "hits", "n_hit", "items", "same"])
+                yield out.filter(pa.array([bool(x) for x in hits], pa.bool_()))
+                continue
             more = ["row"] if "row" in batch.schema.names else []
             out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pair)), pa.array(sums, pa.int64()), pa.array(found, pa.list_(pa.string())), *map(batch.column, more)], ["doc_id", "text", "n_words", "hits", "n_hit", "items", *more])
             yield _edited(out, *edit) if edit else out
