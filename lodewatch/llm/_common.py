@@ -12,16 +12,25 @@ from pyspark.sql import functions as F
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that driver and executors share.
+    """A new path in the folder that driver and executors share; what is below it goes when the application ends.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests, a laptop) a
-    local temporary folder is set for the whole session.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where that is unset a temporary folder serves, but only
+    if driver and executors are one machine (``local`` masters: tests, a laptop); elsewhere it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lodewatch-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lodewatch-"))
+        base = context.getCheckpointDir()
+    own = f"{base.rstrip('/')}/lodewatch-{context.applicationId}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(own)
+    store = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        store.mkdirs(folder)
+        store.deleteOnExit(folder)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

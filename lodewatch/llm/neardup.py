@@ -35,7 +35,7 @@ _ODDS = 25.0
 #: Two classes of one bucket are of one family if they may be this alike: what links to one of them is then no further than this from the other.
 _FAMILY = 0.4
 #: Classes a block of a family holds, on its two sides.
-_HEADS, _MEMBERS = 512, 2048
+_HEADS, _MEMBERS = 256, 512
 #: Ids that may be broadcast; beyond it the join shuffles.
 _BROADCAST_IDS = 1_000_000
 
@@ -113,6 +113,16 @@ def connected(edges: DataFrame) -> DataFrame:
     return roots
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, root) after more ``links`` (a, b): only the roots they join are connected again."""
+    of = lambda x: roots.select(F.col("id").alias(x), F.col("root").alias(f"root_{x}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    over = connected(between.distinct()).select(F.col("id").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(over, "root", "left").select("id", F.coalesce("top", "root").alias("root"))
+    alone = over.join(roots.select(F.col("id").alias("root")), "root", "left_anti").select(F.col("root").alias("id"), F.col("top").alias("root"))
+    return moved.union(alone)
+
+
 def _estimated(pairs: DataFrame, reps: DataFrame, similarity: float, odds: float) -> DataFrame:
     """Pairs (a, b) whose sizes and registers do not rule out that similarity, with the estimate."""
     own = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}"))
@@ -158,7 +168,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_co
     reps = cut(owners.select(F.col("class_id").alias("id"), F.col("n_shingles").alias("n"), "registers"), "representatives")
 
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(_BANDS - 1)), lambda i: F.xxhash64(i, F.substr("registers", i * 2 * _ROWS + 1, F.lit(2 * _ROWS)))))
-    banded = reps.select("id", band.alias("bucket"))
+    banded = cut(reps.select("id", band.alias("bucket")), "bands")
     full = cut(banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("size")).filter("size > 1").select("bucket", "hub"), "buckets")
     members = cut(banded.join(full, "bucket"), "members")
 
@@ -179,7 +189,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_co
     families = connected(near.join(alike, ["a", "b"], "left_semi").select(F.col("part_a").alias("a"), F.col("part_b").alias("b")))
     more = cut(_in_families(met, roots, families, reps, sets, percent), "links")
     rest = cut(_in_buckets(members, met, roots, families, reps, sets, percent), "links")
-    roots = connected(links.union(more).union(rest))
+    roots = _joined(roots, more.union(rest))
 
     same = classes.join(roots.withColumnRenamed("id", "class_id"), "class_id", "left").select(F.col("digest").alias("g"), "class_id", F.coalesce("root", "class_id").alias("component_id"))
     joined = sketches.select("doc_id", "n_shingles", "digest").join(cut(same, "components"), F.col("digest") == F.col("g"), "left")
