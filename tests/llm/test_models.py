@@ -1,13 +1,18 @@
 """Near-duplicates against brute force, the quality model on held-out labels, licences, and the whole pipeline."""
 
+import math
 import random
+import re
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lodewatch.llm import licenses, neardup, quality_model
+from lodewatch.llm import decontam, licenses, neardup, packing, quality_model
+from lodewatch.llm.tokens import encoder, tokenizer_path
+from test_text_ops import brute_hits
 from texts import APACHE, BSD, GPL, MIT
 
 SF = "/root/testdata/sf0.001"
@@ -133,15 +138,116 @@ def test_wrapped_licenses(spark):
     assert got[99].sentence_ids == ["GPLfree", "GPLhope"] and got[98].sentence_ids == ["AllRights", "MITref", "CCBYref"]
 
 
-def test_pipeline(spark):
+def plain_score(model, text):
+    """The additive model in plain Python: one table entry for each feature and each pair."""
+    x = quality_model.text_features(text)
+    bins = [sum(e <= v for e in edges) for edges, v in zip(model.edges, x)]
+    coarse = [b * 8 // (len(edges) + 1) for b, edges in zip(bins, model.edges)]
+    raw = model.intercept + sum(t[b] for t, b in zip(model.tables, bins)) + sum(t[coarse[i]][coarse[j]] for i, j, t in model.pairs)
+    return 1 / (1 + math.exp(-raw))
+
+
+def test_scores_equal_a_plain_model_and_rank_held_out_rows(spark, odd):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality_model.train(docs, labels)
+    assert len(model.pairs) > 0
+    for r in quality_model.score(docs.select("doc_id", "text").union(odd.select("doc_id", "text")), model).collect():
+        assert abs(r.score - plain_score(model, r.text)) < 1e-9
+    held = quality_model.score(docs, model).filter(quality_model.held_out(F.col("doc_id"))).join(labels, "doc_id").collect()
+    good, bad = ([r.score for r in held if r.quality == q] for q in (1, 0))
+    auc = np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+    assert auc > 0.97
+    strange = odd.selectExpr("*", "'q' as y", "'q' as x", "'q' as h")
+    assert quality_model.train(strange, labels).intercept == quality_model.train(odd, labels).intercept
+
+
+SECRET = [
+    (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, lambda v: len(v) >= 6),
+    ("AKIA[A-Z0-9]+", 0, lambda v: len(v) >= 20),
+    ("[0-9a-f]+", 0, lambda v: len(v) >= 24),
+]
+MIXED = (r"[A-Za-z0-9+/_=-]+", 0, lambda v: len(v) >= 20 and re.search("[A-Z]", v) and re.search("[a-z]", v) and len(re.findall("[0-9]", v)) > 1)
+
+
+def redacted(docs):
+    """Texts without live secrets, by counting every value's owners and documents."""
+
+    def spans(t):
+        base = [(m.start(), m.end(), m[g]) for p, g, ok in SECRET for m in re.finditer(p, t) if ok(m[g])]
+        return base, [(m.start(), m.end(), m[0]) for m in re.finditer(MIXED[0], t) if MIXED[2](m[0]) and not any(a < m.end() and b > m.start() for a, b, _ in base)]
+
+    held = {}
+    for d, t, owner in docs:
+        for _, _, v in sum(spans(t or ""), []):
+            held.setdefault(v, []).append((d, owner or ""))
+    example = {v for v, x in held.items() if len({o for _, o in x}) >= 5 or (len({o for _, o in x}) >= 2 and len({d for d, _ in x}) >= 20)}
+    out = {}
+    for d, t, _ in docs:
+        text, at = "", 0
+        for a, b, v in sorted(sum(spans(t or ""), [])):
+            if v not in example:
+                text, at = (text + t[at:a] + "[SECRET]" if a >= at else text), max(at, b)
+        out[d] = None if t is None else text + t[at:]
+    return out
+
+
+def test_pipeline_equals_brute_force(spark):
+    """Each stage on what the stage before kept, in plain Python."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
+    benchmark = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = {r.doc_id: r for r in docs.collect()}
     before = docs
     for name, stage in corpus_pipeline.STAGES:
         after = stage(spark, before, SF).cache()
-        if name != "packing":
-            assert after.columns == docs.columns and 0 < after.count() <= before.count()
-            before = after
-    left = {r.doc_id for r in before.select("doc_id").collect()}
-    assert {r.doc_id for r in after.select("doc_id").collect()} == left
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
-    assert np.mean([labels[i] for i in left if i in labels]) > 0.95
+        held = [(r.doc_id, r.text, r.source) for r in before.collect()]
+        if name == "quality":
+            model = quality_model.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+            want = {d: t for d, t, _ in held if plain_score(model, t) >= 0.5}
+        elif name == "near_duplicates":
+            least = components([(d, t) for d, t, _ in held], 5, 80)
+            want = {d: t for d, t, _ in held if least[d][1] == d}
+        elif name == "decontamination":
+            want = {}
+            for d, t, _ in held:
+                words, hit, _ = brute_hits(t, benchmark)
+                if hit <= 0.5 * words:
+                    want[d] = t if not hit else None
+        elif name == "secrets":
+            want = redacted(held)
+        else:
+            whole = encoder(tokenizer_path()).whole
+            ids = {d: [*whole.encode(t or "", add_special_tokens=False).ids, 1] for d, t, _ in held}
+            got = sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in after.collect())
+            assert got == sorted((d, s, len(x[s : s + 2048]), zlib.crc32(np.array(x[s : s + 2048], "<u4").tobytes()), len(x)) for d, x in ids.items() for s in range(0, len(x), 2048))
+            break
+        assert after.columns == docs.columns
+        got = {r.doc_id: r.text for r in after.collect()}
+        assert set(got) == set(want)
+        for d, t in want.items():
+            if t is not None or name != "decontamination":
+                assert got[d] == t
+            else:  # what is left has no hit of a whole window that stood there, and all other words in order
+                left = iter(decontam.words_of(rows[d].text))
+                assert all(w in left for w in decontam.words_of(got[d])) and len(decontam.words_of(got[d])) == len(decontam.words_of(rows[d].text)) - brute_hits(rows[d].text, benchmark)[1]
+        assert len(got) > 0
+        before = after
+    assert name == "packing"
+
+
+def test_stages_take_odd_and_empty_rows(spark, odd, empty, tmp_path):
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    for df in (odd, empty):
+        before = df
+        for name, stage in corpus_pipeline.STAGES:
+            after = stage(spark, before, str(tmp_path))
+            assert after.count() <= 100 * before.count() + 0
+            if name != "packing":
+                assert after.columns == df.columns
+                before = after if name != "quality" else before
+    placed = packing.pack(odd, length=64)
+    seqs = packing.sequences(placed, length=64).collect()
+    assert sum(s.n_tokens for s in seqs) == placed.agg(F.sum("length")).first()[0] and packing.sequences(packing.pack(empty)).count() == 0
+    item = spark.createDataFrame([(1, "same text same text")], "item_id long, text string")
+    cleaned = {r.doc_id: r.text for r in decontam.clean(odd.withColumn("row", F.lit("q")).withColumn("hits", F.lit("q")), item).collect()}
+    assert not {4, 5} & set(cleaned) and cleaned[2] == "" and decontam.clean(empty, item).count() == 0
