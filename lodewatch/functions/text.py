@@ -28,7 +28,20 @@ LANGUAGES = {
     "no": "Norwegian", "pa": "Punjabi", "pl": "Polish", "pt": "Portuguese", "ro": "Romanian", "ru": "Russian", "sk": "Slovak", "sl": "Slovenian", "so": "Somali", "sq": "Albanian", "sv": "Swedish",
     "sw": "Swahili", "ta": "Tamil", "te": "Telugu", "th": "Thai", "tl": "Tagalog", "tr": "Turkish", "uk": "Ukrainian", "ur": "Urdu", "vi": "Vietnamese", "zh-cn": "Chinese (Simplified)", "zh-tw": "Chinese (Traditional)",
 }
-SPA_SCAN = 200_000
+SPA_SCAN, SPA_HTML, SPA_TEXT = 200_000, 10_000, 800
+COMMENT, HIDDEN, TAG = r"(?s)<!--.*?-->", r"(?is)<(script|style|noscript|svg)[^>]*>.*?</\1>", r"(?s)<[^>]+>"
+LANGUAGE_SCAN, LANGUAGE_LEAST = 10_000, 30
+
+#: Function words by which a text's language is told; a choice of this library.
+FUNCTION_WORDS = {
+    "en": ("the", "of", "and", "to", "in", "is", "that", "for", "with", "on", "are", "this", "by", "from", "it"),
+    "de": ("der", "die", "das", "und", "den", "von", "zu", "mit", "ist", "nicht", "ein", "eine", "auf", "sich", "im"),
+    "fr": ("le", "les", "des", "et", "du", "une", "est", "pour", "dans", "que", "au", "qui", "sur", "pas", "elle"),
+    "es": ("el", "los", "las", "y", "en", "por", "con", "del", "para", "se", "su", "como", "una", "más", "lo"),
+    "it": ("il", "di", "che", "per", "della", "sono", "gli", "nel", "non", "alla", "dei", "anche", "è", "ai", "dal"),
+    "pt": ("os", "da", "do", "uma", "em", "com", "não", "ao", "dos", "das", "pela", "mais", "são", "na", "pelo"),
+    "nl": ("het", "een", "van", "niet", "met", "voor", "zijn", "op", "ook", "aan", "te", "dat", "wordt", "naar", "uit"),
+}
 
 
 def literal_map(values: dict[str, str]) -> Column:
@@ -46,15 +59,15 @@ def clip(text: Column, longest: int = 10_000) -> Column:
 
 def visible_text(html: Column) -> Column:
     """The text outside comments, scripts, styles and tags; entities are left as they stand."""
-    t = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?s)<!--.*?-->", " ")
-    t = F.regexp_replace(t, r"(?is)<(script|style|noscript|svg)[^>]*>.*?</\1>", " ")
-    return collapse(F.regexp_replace(t, r"(?s)<[^>]+>", " "))
+    t = F.regexp_replace(F.coalesce(html, F.lit("")), COMMENT, " ")
+    t = F.regexp_replace(t, HIDDEN, " ")
+    return collapse(F.regexp_replace(t, TAG, " "))
 
 
 def looks_like_spa(html: Column) -> Column:
     """A page drawn by scripts: a framework's mark, or much HTML with little text."""
     h = F.substring(F.coalesce(html, F.lit("")), 1, SPA_SCAN)
-    return h.rlike(SPA_MARKERS) | ((F.length(h) > 10_000) & (F.length(visible_text(h)) < 800))
+    return h.rlike(SPA_MARKERS) | ((F.length(h) > SPA_HTML) & (F.length(visible_text(h)) < SPA_TEXT))
 
 
 def has_download_bait(html: Column) -> Column:
@@ -75,6 +88,27 @@ def declared_language(html: Column) -> Column:
     return F.when(code.rlike(r"^\p{L}{2,3}$"), lang_name(code))
 
 
+def detect_language(text: Column) -> Column:
+    """The name of the language whose function words a text holds most of; NULL for a text of under 30 letters or without any.
+
+    Only the first 10,000 characters are looked at. A tie goes to the language named first; a null text has none.
+    """
+    letters = F.regexp_replace(F.lower(F.left(F.coalesce(text, F.lit("")), F.lit(LANGUAGE_SCAN))), r"[^\p{L}]+", " ")
+
+    def best(words: Column) -> Column:
+        held = lambda own: F.size(F.filter(words, lambda w: w.isin(*own)))
+        return F.array_max(F.array(*(F.struct(held(own).alias("n"), F.lit(-k).alias("o"), F.lit(code).alias("code")) for k, (code, own) in enumerate(FUNCTION_WORDS.items()))))
+
+    chosen = F.get(F.transform(F.array(F.split(letters, " ")), best), F.lit(0))
+    enough = F.length(F.replace(letters, F.lit(" "), F.lit(""))) >= LANGUAGE_LEAST
+    return F.when(enough & (chosen["n"] > 0), lang_name(chosen["code"]))
+
+
+def page_language(html: Column) -> Column:
+    """The declared language, else the one that the page's visible text tells."""
+    return F.coalesce(declared_language(html), detect_language(visible_text(html)))
+
+
 def page_type(url: Column, anchor: Column) -> Column:
     """The first rule that the path and anchor text meet; order is priority."""
     blob = F.lower(F.concat_ws(" ", path(url), F.coalesce(anchor, F.lit(""))))

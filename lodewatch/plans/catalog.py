@@ -142,7 +142,9 @@ _VISIBLE = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}
 _add("visible_text", lambda t: t.pages.select("page_id", X.visible_text(F.col("html")).alias("v")), f"select page_id, {_VISIBLE.format(c='html')} as v from pages")
 _add("looks_like_spa", lambda t: t.pages.select("page_id", X.looks_like_spa(F.col("html")).alias("v")), f"select page_id, length(html) > 10000 and length({_VISIBLE.format(c='html')}) < 800 as v from pages")
 _add("has_download_bait", lambda t: t.html_pages.select("page_id", X.has_download_bait(F.col("html")).alias("v")), f"select page_id, regexp_matches({_VISIBLE.format(c='html')}, '(?i)click here|download|\\bpdf\\b|view (our|the)|read (our|the)|see (our|the)') as v from html_pages", "html_pages")
-_add("page_language", lambda t: t.html_pages.select("page_id", X.declared_language(F.col("html")).alias("v")), "select page_id, case page_id % 4 when 0 then 'English' when 1 then 'German' when 2 then 'zh' end as v from html_pages", "html_pages")
+_add("page_language", lambda t: t.html_pages.select("page_id", X.page_language(F.col("html")).alias("v")), "select page_id, case page_id % 4 when 0 then 'English' when 1 then 'German' when 2 then 'zh' else case when page_id % 3 = 0 then 'English' end end as v from html_pages", "html_pages")
+_COUNTS = ", ".join("{'n': len(list_filter(w, lambda x: x in (" + ", ".join(f"'{x}'" for x in own) + f"))), 'o': {-k}, 'code': '{code}'}}" for k, (code, own) in enumerate(X.FUNCTION_WORDS.items()))
+_add("detect_language", lambda t: t.documents.select("doc_id", X.detect_language(F.col("text")).alias("v")), f"select doc_id, case when len(replace(s, ' ', '')) >= 30 and b.n > 0 then case b.code when 'en' then 'English' when 'de' then 'German' when 'fr' then 'French' when 'es' then 'Spanish' when 'it' then 'Italian' when 'pt' then 'Portuguese' when 'nl' then 'Dutch' end end as v from (select *, list_max([{_COUNTS}]) as b from (select *, string_split(s, ' ') as w from (select doc_id, regexp_replace(lower(left(coalesce(\"text\", ''), 10000)), '[^\\p{{L}}]+', ' ', 'g') as s from documents)))")
 _add("lang_name", lambda t: t.monitored_links.select("rec_id", X.lang_name(F.col("lang_code")).alias("v")), "select rec_id, case lang_code when 'en' then 'English' when 'de' then 'German' when 'fr' then 'French' when 'es' then 'Spanish' else nullif(lang_code, '') end as v from monitored_links", "monitored_links")
 _add("text_hash", lambda t: t.documents.select("doc_id", X.text_hash(F.col("text")).alias("v")), "select doc_id, sha1(trim(regexp_replace(lower(text), '\\s+', ' ', 'g'))) as v from documents")
 _add("clip", lambda t: t.documents.select("doc_id", X.clip(F.col("text")).alias("v")), "select doc_id, substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 10000) as v from documents")

@@ -101,3 +101,14 @@ def test_due_days(spark):
         want = [True, day.weekday() in (0, 2, 4), day.weekday() in (0, 4), monday, first, first, monday, monday]
         assert column(spark, freqs, lambda c, day=day: X.is_due(c, F.lit(day))) == want
     assert all(column(spark, freqs, lambda c: X.is_due(c, F.lit(dt.date(2024, 1, 2)), force=True)))
+
+
+def test_languages_of_pages_and_texts(spark):
+    texts = ["The report of the group is for all of the people", "Der Bericht ist für die Gruppe und nicht für das Haus", "Le rapport est pour les groupes et dans une maison", "El informe para los grupos y las casas del lugar", "the", None, "1234 5678", "xxxxx " * 20]
+    assert column(spark, texts, X.detect_language) == ["English", "German", "French", "Spanish", None, None, None, None]
+    html = ["<p>" + texts[1], "<html lang=fr><p>" + texts[1], "<script>" + texts[0] + "</script>", None]
+    assert column(spark, html, X.page_language) == ["German", "French", None, None]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("length(text) > 300")
+    names = F.element_at(X.literal_map({"en": "English", "de": "German", "fr": "French", "es": "Spanish"}), F.col("lang"))
+    right, n = docs.select(F.count_if(X.detect_language(F.col("text")) == names), F.count("*")).first()
+    assert n > 50 and right > 0.9 * n
