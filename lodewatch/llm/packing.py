@@ -70,7 +70,7 @@ def cutting_stock(demand: np.ndarray, capacity: int, max_rounds: int = 4000) ->
     """Patterns ({size: copies}, uses) that hold ``demand[n]`` pieces of each size n in 1..capacity.
 
     The linear program's optimum is approached until the bound by Farley is within half a sequence or a
-    1,000th part; uses are rounded down and the remaining pieces (a few for each pattern) packed best-fit. Should
+    200th part; uses are rounded down and the remaining pieces (a few for each pattern) packed best-fit. Should
     ``max_rounds`` steps not be enough, a warning tells it; the pieces are packed all the same.
     """
     sizes, unit = np.flatnonzero(demand), class_lengths(capacity)[0]
@@ -89,7 +89,7 @@ def cutting_stock(demand: np.ndarray, capacity: int, max_rounds: int = 4000) ->
                 column, price, gain = np.zeros(m), 0.0, dual[low]
                 column[low] = -1.0
             else:
-                if (now := (cost * x).sum()) - bound < max(0.5, 1e-3 * now):
+                if (now := (cost * x).sum()) - bound < max(0.5, 5e-3 * now):
                     break
                 for near in (0.8, 0.0):
                     trial = near * center + (1 - near) * dual
