@@ -109,5 +109,5 @@ def outcome_histogram(rows: DataFrame, by: str = "outcome") -> DataFrame:
 
 
 def random_sample(rows: DataFrame, n: int, seed: int = 0, by: str = "document_url") -> DataFrame:
-    """``n`` rows in seeded hash order; the same rows each time."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), by), by).limit(n)
+    """``n`` rows in seeded hash order, a distributed top-k; the same rows each time. A null counts as ''; repeated rows are equals."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed} "), F.coalesce(F.col(by).cast("string"), F.lit("")))), by).limit(n)

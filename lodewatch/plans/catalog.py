@@ -179,7 +179,7 @@ _add("classify_todo", lambda t: classify.classify_todo(t.attach_rows).select("re
 _add("ids_todo", lambda t: resolve.ids_todo(t.monitored_links.withColumn("link_id", F.when(F.col("page_id") % 2 == 0, "x"))), f"select rec_id, {S.owned('wba_id', S.total('url'), 8)} as link_id from monitored_links where page_id % 2 <> 0", "monitored_links")
 _add("harvest_pages", lambda t: harvest.harvest_pages(t.monitored_links).select("rec_id"), "select rec_id from monitored_links where monitor and type in ('reports_hub', 'sustainability_page', 'sustainability_report', 'investor_relations', 'policies')", "monitored_links")
 _add("spa_handoff", lambda t: diff.spa_handoff(t.monitored_links.join(links.n_hard_docs(t.page_links), "rec_id", "left").withColumns({"spa": F.col("page_id") % 2 == 0, "bait": F.col("page_id") % 3 == 0})), "select rec_id, true as needs_browser from monitored_links left join (select rec_id, count(*) filter (where split_part(lower(document_url), '?', 1) like '%.pdf') as n from page_links group by rec_id) using (rec_id) where coalesce(n, 0) < 3 and type in ('sustainability_page', 'reports_hub', 'sustainability_report', 'policies', 'investor_relations') and (page_id % 2 = 0 or page_id % 3 = 0)", "monitored_links", "page_links")
-_add("random_sample", lambda t: files.random_sample(t.page_docs, 50))
+_add("random_sample", lambda t: files.random_sample(t.page_docs, 50, seed=3, by="doc_key"), "select * from page_docs order by md5('3 ' || cast(doc_key as varchar)), doc_key limit 50", "page_docs")
 
 # Joins ---------------------------------------------------------------------------------------------------------------
 _add("link_companies", lambda t: resolve.link_companies(t.report_library, t.companies), "select r.rec_id, c.rec_id as company_rec from report_library r join companies c using (wba_id)", "report_library", "companies")
