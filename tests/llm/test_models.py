@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lodewatch.llm import decontam, licenses, neardup, packing, quality_model
+from lodewatch.llm._shingles import shingle_sets
 from lodewatch.llm.tokens import encoder, tokenizer_path
 from test_text_ops import brute_hits
 from texts import APACHE, BSD, GPL, MIT
@@ -59,6 +60,46 @@ def test_near_duplicates(spark, words):
     assert got == components(rows, words, 80)
 
 
+def exact_components(docs, words, percent):
+    """By an exact join on the rarest shingles of each set: linked sets share one of their first n - ceil(0.8 n) + 1."""
+    sets = list(shingle_sets([t for _, t in docs], words))
+    values, counts = np.unique(np.concatenate(sets), return_counts=True)
+    root, held, same, links = {d: d for d, _ in docs}, {}, {}, 0
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def link(x, y):
+        a, b = sorted((find(docs[x][0]), find(docs[y][0])))
+        root[b] = a
+
+    for k in sorted(range(len(sets)), key=lambda k: len(sets[k])):
+        x = sets[k]
+        if not len(x):
+            continue
+        if (other := same.setdefault(x.tobytes(), k)) != k:
+            link(k, other)
+            continue
+        rare = x[np.argsort(counts[np.searchsorted(values, x)], kind="stable")][: len(x) + 1 - -(-percent * len(x) // 100)]
+        for j in {j for v in rare.tolist() for j in held.get(v, ())}:
+            both = np.intersect1d(x, sets[j], assume_unique=True).size
+            if 100 * both >= percent * (len(x) + len(sets[j]) - both):
+                links += 1
+                link(k, j)
+        for v in rare.tolist():
+            held.setdefault(v, []).append(k)
+    return {d: find(d) for d, _ in docs}, links
+
+
+@pytest.mark.parametrize("words", [2, 5])
+def test_near_duplicates_of_10_000_documents(spark, words):
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    want, links = exact_components([(r.doc_id, r.text or "") for r in df.collect()], words, 80)
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, words=words).collect()} == want and links > 40
+
+
 def test_near_duplicates_behind_unlike_hubs(spark):
     """Excerpts with lesser ids stand before two versions of a page in every bucket that these share, each too short to be like them."""
     r = random.Random(1)
