@@ -32,12 +32,16 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int | None = 1, sa
     """One row (sha256, dictionary, width): a zstandard dictionary of at most ``size`` bytes.
 
     It is fitted to a piece of ``sample_chars`` characters, from a hashed place, of each of the ``sample_docs``
-    documents whose hashed id is smallest, so its cost does not grow with the corpus; it only affects the files'
-    size, never what they hold. With too little to train on, the sample itself is the dictionary; an empty table gives
-    an empty one.
+    documents whose hashes are smallest, so its cost does not grow with the corpus; it only affects the files' size,
+    never what they hold. With too little to train on, the sample itself is the dictionary; an empty table gives an
+    empty one. Repeated rows count as one.
     """
+    # Of all hashes only the share that holds about four samples is sorted, so that no task is sent more as tables grow.
+    share = min(1.0, 4 * sample_docs / max(1, docs.count()))
     place = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.length("text") - sample_chars + 1)).cast("int") + 1
-    sample = id_text(docs).select(F.xxhash64("doc_id").alias("h"), F.substring("text", place, F.lit(sample_chars)).alias("text")).orderBy("h", "text").limit(sample_docs)
+    low = id_text(docs).withColumn("h", F.xxhash64("doc_id", "text")).filter(F.col("h") <= min(2**63 - 1, int(share * 2**64) - 2**63))
+    pieces = low.select("h", F.substring("text", place, F.lit(sample_chars)).alias("text")).groupBy("h").agg(F.min("text").alias("text"))
+    sample = pieces.orderBy("h").limit(sample_docs)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard as zstd

@@ -14,7 +14,7 @@ import pyarrow as pa
 from lodewatch.llm._shingles import span_hashes
 
 #: Most words, and most of their bytes, that one worker keeps between batches (about 45 bytes a word).
-CACHE_WORDS, CACHE_BYTES = 600_000, 16_000_000
+CACHE_WORDS, CACHE_BYTES = 300_000, 8_000_000
 #: Longer words are encoded whenever they occur.
 LONGEST = 64
 #: Longer runs go to the library.
@@ -312,7 +312,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def encode_rows(texts: list[str], path: str, end_id: int | None, chunk_chars: int = 1_000_000):
+def encode_rows(texts: list[str], path: str, end_id: int | None, chunk_chars: int = 400_000):
     """Yields each text's ids as an array, in order; about ``chunk_chars`` characters are encoded together."""
     enc, i = encoder(path), 0
     end = np.array([] if end_id is None else [end_id], enc.kind)
